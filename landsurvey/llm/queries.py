@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, oracles, simhash
+from . import decontamination, exact_dedup, language_id, mixing, oracles, simhash, toxicity
 from .common import read_table
 
 
@@ -16,13 +16,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op5_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op8_toxicity, op10_exact_dedup)}
 ORACLES = oracles.ORACLES
