@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language_id, mixing, oracles, simhash, toxicity
+from . import decontamination, exact_dedup, language_id, mixing, oracles, simhash, token_counts, toxicity
 from .common import read_table
 
 
@@ -24,6 +25,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    return token_counts.token_counts(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -32,5 +37,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op8_toxicity, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op6_token_counts, op8_toxicity, op10_exact_dedup)}
 ORACLES = oracles.ORACLES

@@ -15,7 +15,9 @@ DARK[0x09:0x0E] = DARK[0x20] = False
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
 
-_POWERS = byte_powers(1 << 16)
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
 def word_bounds(raw: np.ndarray, of: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,16 +39,17 @@ def word_bounds(raw: np.ndarray, of: np.ndarray, cuts: np.ndarray) -> tuple[np.n
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes that depends on nothing else."""
+    """A 64-bit hash of each word's bytes that depends on nothing else.
+
+    Sums of byte * base**position up to every byte give each word's sum by one
+    subtraction; base**-start makes it the same wherever the word stands.
+    """
     if not len(starts):
         return np.empty(0, np.uint64)
-    # position inside the word picks the power, so the sum is the same anywhere
-    lengths = ends - starts
-    total = int(lengths.sum())
-    first = np.cumsum(lengths) - lengths
-    inner = np.arange(total) - np.repeat(first, lengths)
-    values = raw[np.repeat(starts, lengths) + inner].astype(np.uint64) + np.uint64(1)
-    big = int(inner.max()) + 1
-    powers = _POWERS if big <= len(_POWERS) else byte_powers(big)
-    sums = np.add.reduceat(values * powers[inner], first)
-    return mix64(sums ^ (lengths.astype(np.uint64) << np.uint64(48)))
+    while len(_POWERS[0]) < len(raw):
+        n = max(1 << 20, 2 * len(_POWERS[0]), len(raw))
+        _POWERS[:] = [byte_powers(n, BASE), byte_powers(n, INVERSE)]
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][: len(raw)], out=sums[1:])
+    lengths = (ends - starts).astype(np.uint64)
+    return mix64((sums[ends] - sums[starts]) * _POWERS[1][starts] + (lengths << np.uint64(48)))
