@@ -83,11 +83,17 @@ def segment_keys(fp: Column, max_bits: int) -> list[tuple[Column, int]]:
     return out
 
 
+def within_one_bit(key: Column, width: int) -> Column:
+    """All values that differ from key in at most one of its lower width bits."""
+    masks = [0, *[1 << i if i < 63 else -(1 << 63) for i in range(width)]]
+    return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: key.bitwiseXOR(m))
+
+
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints at most max_bits apart."""
     keys = segment_keys(F.col("fp"), max_bits)
     table = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*[k for k, _ in keys])).alias("key"))
-    ball = F.flatten(F.array(*[F.transform(F.array(*[F.lit(m) for m in [0, *[1 << i if i < 63 else -(1 << 63) for i in range(width)]]]), lambda m, k=k: k.bitwiseXOR(m)) for k, width in keys]))
+    ball = F.flatten(F.array(*[within_one_bit(k, width) for k, width in keys]))
     probes = distinct.select(F.col("fp").alias("a"), F.explode(ball).alias("key"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     return probes.join(table.hint("merge"), "key").filter(near).select("a", "b").distinct()
