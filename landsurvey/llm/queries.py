@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language_id, mixing, oracles, simhash, token_counts, toxicity
+from . import chat, decontamination, exact_dedup, language_id, mixing, oracles, simhash, token_counts, toxicity
 from .common import read_table
 
 
@@ -33,9 +33,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.report(spark, rows.unionByName(extra))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op6_token_counts, op8_toxicity, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op6_token_counts, op8_toxicity, op9_chat, op10_exact_dedup)}
 ORACLES = oracles.ORACLES
