@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact_dedup, language_id, mixing, oracles, simhash, token_counts, toxicity
+from . import chat, decontamination, exact_dedup, language_id, mixing, oracles, secrets, simhash, token_counts, toxicity
 from .common import read_table
 
 
@@ -21,6 +21,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.report(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,5 +48,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op5_mixing, op6_token_counts, op8_toxicity, op9_chat, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op4_secrets, op5_mixing, op6_token_counts, op8_toxicity, op9_chat, op10_exact_dedup)}
 ORACLES = oracles.ORACLES
