@@ -36,7 +36,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-SAMPLE, WINDOW, STEPS, SLICE_BYTES = 20_000, 32, 60, 1 << 20
+SAMPLE, WINDOW, STEPS, SLICE_BYTES = 20_000, 32, 100, 1 << 20
 O, B, I = 0, 1, 2
 SIZES = (192, 36, 84, 1024, 1024, 193, 16, 48)  # values of each feature
 
