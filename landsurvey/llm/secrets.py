@@ -37,6 +37,7 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 SAMPLE, WINDOW, STEPS, SLICE_BYTES = 20_000, 32, 100, 1 << 20
+SHOWN = 0.5  # share of features seen in each training step
 O, B, I = 0, 1, 2
 SIZES = (192, 36, 84, 1024, 1024, 193, 16, 48)  # values of each feature
 
@@ -157,8 +158,11 @@ class Field:
         truth[~live] = 0
         flat = ids.reshape(len(SIZES), -1)
         total = max(1, live.sum())
+        rng = np.random.default_rng(5)
         for _ in range(steps):
-            e = self.emissions(flat).reshape(n, width, 3)
+            # hiding features at random makes each carry its part, seen shape or not
+            shown = np.repeat(rng.random((len(SIZES), n)) < SHOWN, width, axis=1)
+            e = sum(w[i] * s[:, None] for w, i, s in zip(self.weights, flat, shown, strict=True)).reshape(n, width, 3).astype(np.float32)
             m = self.moves
             alpha, beta = np.empty_like(e), np.zeros_like(e)
             alpha[:, 0] = e[:, 0]
@@ -178,7 +182,7 @@ class Field:
             adam.tick()
             diff = ((p - truth) / total).reshape(-1, 3)
             for f, size in enumerate(SIZES):
-                grad = np.stack([np.bincount(flat[f], diff[:, k], size) for k in range(3)], axis=1)
+                grad = np.stack([np.bincount(flat[f], diff[:, k] * shown[f], size) for k in range(3)], axis=1)
                 adam.step(f, grad.astype(np.float32) + 1e-6 * self.weights[f])
             expected = np.zeros((3, 3))
             for t in range(1, width):

@@ -52,12 +52,12 @@ def test_field_finds_what_looks_like_a_secret(spark):
     words = "the quick brown fox jumps over a lazy dog while it rains in spain".split()
     prose = lambda: " ".join(rng.choice(words, 60))
     docs = [(i, f"{prose()} token = \"{code()}\" {prose()}" if i % 3 == 0 else prose()) for i in range(300)]
-    docs.append((999, f"{prose()} token <{code()[:23]}{code().upper()[:17]}> {prose()}"))  # no pattern fits
+    docs.append((999, f'{prose()} token is "{code()[:20]}{code().upper()[:20]}" {prose()}'))  # no pattern fits
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
-    rows = {r.doc_id: r for r in secrets.report(spark, df).collect()}
-    assert rows[999].n_hex == rows[999].n_assign == 0
-    assert rows[999].spans.startswith("crf:")
-    assert sum(rows[i].spans != "" for i in range(300) if i % 3) == 0
+    field = secrets.train(spark, df.filter("doc_id < 999"))
+    rows = {r.doc_id: [x.kind for x in r.found] for r in secrets.scan(spark, df, field).collect()}
+    assert rows[999] == ["crf"]
+    assert not any(rows[i] for i in range(300) if i % 3)
 
 
 def test_decoding_is_the_best_path():
