@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact_dedup, language_id, mixing, oracles, secrets, simhash, token_counts, toxicity
+from . import chat, decontamination, exact_dedup, language_id, mixing, oracles, secrets, simhash, substring_dedup, token_counts, toxicity
 from .common import read_table
 
 
@@ -33,6 +33,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "word_b
     return token_counts.token_counts(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -48,5 +52,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op4_secrets, op5_mixing, op6_token_counts, op8_toxicity, op9_chat, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_language_id, op4_secrets, op5_mixing, op6_token_counts, op7_substring_dedup, op8_toxicity, op9_chat, op10_exact_dedup)}
 ORACLES = oracles.ORACLES
