@@ -123,3 +123,14 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = (3, 1
         "row_id", "doc_id", "source", "size", "source_size", "target",
         (F.col("copies") * F.col("size") + F.coalesce(part, F.lit(0))).cast("bigint").alias("taken"),
     )
+
+
+def mixed(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The rows of docs that the mix takes words of, with size, source_size, target
+    and taken, which replace columns of those names."""
+    held = materialise(spark, docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "mix-input")
+    keyed = held.select("row_id", *[F.col(f"doc.{c}").alias(c) for c in ("doc_id", "text", "source")])
+    facts = ["size", "source_size", "target", "taken"]
+    chosen = mix(spark, keyed, weights, share, most).filter("taken > 0").select("row_id", *facts)
+    own = [F.col("doc").getField(c).alias(c) for c in docs.columns if c not in facts]
+    return held.join(chosen, "row_id").select(*own, *facts)
