@@ -11,7 +11,9 @@ looks up all values within one bit of its own, and what it meets is verified on
 all 64 bits. Work is by distinct fingerprint, so copies cost nothing.
 
 Components come from smallest-label propagation with pointer jumping over the
-linked fingerprints, each round written to the shared folder.
+linked fingerprints, each round written to the shared folder. It runs first on a
+few links of each fingerprint, to hubs, and then on links between what those
+leave apart, so that a crowd of n near copies does not emit n * n pairs.
 
 Defined results: null text is empty; texts without words share fingerprint zero
 and so link with each other; repeated rows are answered row by row; null ids
@@ -89,14 +91,57 @@ def within_one_bit(key: Column, width: int) -> Column:
     return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: key.bitwiseXOR(m))
 
 
-def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints at most max_bits apart."""
+def _probes(distinct: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(table of b by key, look-ups of a by key) of the segments; other columns stay."""
     keys = segment_keys(F.col("fp"), max_bits)
-    table = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*[k for k, _ in keys])).alias("key"))
+    rest = [F.col(c) for c in distinct.columns if c != "fp"]
+    table = distinct.select(F.col("fp").alias("b"), *rest, F.explode(F.array(*[k for k, _ in keys])).alias("key"))
     ball = F.flatten(F.array(*[within_one_bit(k, width) for k, width in keys]))
-    probes = distinct.select(F.col("fp").alias("a"), F.explode(ball).alias("key"))
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return probes.join(table.hint("merge"), "key").filter(near).select("a", "b").distinct()
+    return table, distinct.select(F.col("fp").alias("a"), *rest, F.explode(ball).alias("key"))
+
+
+def _near(a: str, b: str, max_bits: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
+
+
+def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints at most max_bits apart. With a
+    column label, only pairs of different labels."""
+    table, probes = _probes(distinct, max_bits)
+    pairs = (F.col("a") < F.col("b")) & _near("a", "b", max_bits)
+    if "label" in distinct.columns:
+        table = table.withColumnRenamed("label", "other")
+        pairs = pairs & (F.col("label") != F.col("other"))
+    return probes.join(table.hint("merge"), "key").filter(pairs).select("a", "b").distinct()
+
+
+def hub_links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
+    """At most two links (a, b) of each fingerprint a, so that a crowd of near copies
+    falls together without a row for each pair of it.
+
+    Every table value names two hubs, its least members under two scramblings;
+    each fingerprint links to the least hub under either that is near it."""
+    table, probes = _probes(distinct.select("fp"), max_bits)
+    least = lambda seed: F.min(F.struct(F.xxhash64("b", F.lit(seed)).alias("h"), "b"))
+    hubs = table.groupBy("key").agg(least(1).alias("one"), least(2).alias("two"))
+    met = probes.join(hubs.hint("merge"), "key")
+    fits = lambda c: F.min(F.when((F.col("a") != F.col(f"{c}.b")) & _near("a", f"{c}.b", max_bits), F.col(c)))
+    chosen = met.groupBy("a").agg(fits("one").alias("one"), fits("two").alias("two"))
+    return chosen.select("a", F.explode(F.array("one.b", "two.b")).alias("b")).filter("b IS NOT NULL").distinct()
+
+
+def clusters(spark: SparkSession, distinct: DataFrame, max_bits: int = 3) -> DataFrame:
+    """(v, label) of the linked fingerprints of distinct (fp): first by hubs, then by
+    the links between what is still apart, which is exact."""
+    hubbed = components(spark, hub_links(distinct, max_bits))
+    named = distinct.join(hubbed.withColumnRenamed("v", "fp"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
+    named = materialise(spark, named, "hub-labels")
+    far = materialise(spark, links(named, max_bits), "links-apart")
+    name_of = lambda v: named.select(F.col("fp").alias(v), F.col("label").alias(f"l{v}"))
+    apart = far.join(name_of("a"), "a").join(name_of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    joined = components(spark, apart).select(F.col("v").alias("label"), F.col("label").alias("final"))
+    # a label is linked or not; a vertex alone under its own name needs no row
+    return named.join(joined, "label", "left").select(F.col("fp").alias("v"), F.coalesce("final", "label").alias("label"))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -122,7 +167,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, max_bi
     prints = materialise(spark, fingerprints(spark, keyed, width), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
     distinct = materialise(spark, prints.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
-    labels = components(spark, links(distinct.select("fp"), max_bits))
+    labels = clusters(spark, distinct.select("fp"), max_bits)
     owned = distinct.join(labels.withColumnRenamed("v", "fp"), "fp", "left").select("fp", "n", "first", F.coalesce("label", "fp").alias("label"))
     linked = owned.filter(F.col("label") != F.col("fp")).select("label", "first")
     best = linked.groupBy("label").agg(F.min("first").alias("best"))

@@ -1,3 +1,5 @@
+import random
+
 import brute
 from conftest import ODD
 from landsurvey.llm import queries, simhash
@@ -31,6 +33,23 @@ def test_links_reach_the_stated_distance(spark):
         assert set(map(tuple, simhash.links(df, bits).collect())) == want
 
 
+def test_clusters_of_crowds_are_those_of_all_links(spark):
+    rng = random.Random(3)
+    prints = set()
+    for _ in range(6):
+        base = rng.getrandbits(63)
+        for _ in range(60):
+            prints.add(base ^ sum({1 << rng.randrange(63) for _ in range(rng.randrange(0, 4))}))
+    df = spark.createDataFrame([(p,) for p in prints], "fp bigint")
+    for bits in (3, 5):
+        every = {v: x for v, x in simhash.components(spark, simhash.links(df, bits)).collect()}
+        got = {v: x for v, x in simhash.clusters(spark, df, bits).collect()}
+        assert set(got) == prints
+        group = lambda names: {frozenset(k for k in names if names[k] == x) for x in names.values()}
+        assert group(got) == group({p: every.get(p, p) for p in prints})
+        assert simhash.hub_links(df, bits).count() <= 2 * len(prints)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     assert {v: x for v, x in simhash.components(spark, edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
