@@ -38,4 +38,39 @@ r AS (
 SELECT doc_id, size, source_size, target, (copies * size + greatest(0, least(size, budget - before)))::BIGINT AS taken FROM r
 """
 
-ORACLES = {"op5_mixing": OP5, "op10_exact_dedup": OP10}
+WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP1 = f"""
+WITH iw AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS s
+  FROM (SELECT *, unnest(range(greatest(len(w) - 9, 1))) AS i FROM iw WHERE len(w) > 0)),
+dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
+dg AS (
+  SELECT doc_id, l, i, array_to_string(w[i + 1 : i + l], ' ') AS s
+  FROM (SELECT doc_id, w, l, unnest(range(len(w) - l + 1)) AS i FROM dw, (SELECT DISTINCT l FROM win) WHERE len(w) >= l)),
+hit AS (SELECT doc_id, i, l, item_id FROM dg JOIN win USING (l, s)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hit) GROUP BY 1),
+itm AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN itm USING (doc_id)
+"""
+
+#: Lengths of the template: <s>, newline and </s>, and the marks around all but assistants.
+OP9 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\\\|<s>|</s>|\[INST\]|\[/INST\]'))
+            + length(role) + len(regexp_extract_all(role, '\\\\|<s>|</s>|\[INST\]|\[/INST\]|\n')) + 8 + CASE WHEN role = 'assistant' THEN 0 ELSE 15 END AS size
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op9_chat": OP9, "op5_mixing": OP5, "op10_exact_dedup": OP10}
