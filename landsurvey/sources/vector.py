@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sqlite3
 import struct
 from collections.abc import Iterator
@@ -73,6 +74,32 @@ def transverse_mercator(lat, lon, a: float, b: float, scale: float, lat0: float,
 BRITISH_GRID = {"a": 6377563.396, "b": 6356256.909, "scale": 0.9996012717, "lat0": 49.0, "lon0": -2.0, "e0": 400000.0, "n0": -100000.0}
 
 
+#: Ellipsoids, and the published shift from WGS84 to the grid's datum
+#: (metres, seconds of arc, parts per million).
+WGS84, AIRY = (6378137.0, 6356752.314245), (6377563.396, 6356256.909)
+SHIFT = {"x": -446.448, "y": 125.157, "z": -542.060, "rx": -0.1502, "ry": -0.2470, "rz": -0.8421, "ppm": 20.4894}
+
+
+def shift_datum(lat, lon, height: float = 0.0, source=WGS84, target=AIRY, shift=SHIFT):  # noqa: B006
+    """Latitude and longitude on another datum by seven parameters, good to metres."""
+    a, b = source
+    e2 = 1 - b * b / (a * a)
+    phi, lam = F.radians(col(lat)), F.radians(col(lon))
+    nu = a / F.sqrt(1 - e2 * F.sin(phi) * F.sin(phi))
+    x, y = (nu + height) * F.cos(phi) * F.cos(lam), (nu + height) * F.cos(phi) * F.sin(lam)
+    z = ((1 - e2) * nu + height) * F.sin(phi)
+    rx, ry, rz = (math.radians(shift[k] / 3600) for k in ("rx", "ry", "rz"))
+    s = 1 + shift["ppm"] * 1e-6
+    x2, y2, z2 = shift["x"] + s * x - rz * y + ry * z, shift["y"] + rz * x + s * y - rx * z, shift["z"] - ry * x + rx * y + s * z
+    a, b = target
+    e2 = 1 - b * b / (a * a)
+    # the closed form with the parametric latitude is exact to micrometres near the ground
+    p = F.sqrt(x2 * x2 + y2 * y2)
+    t = F.atan2(z2 * a, p * b)
+    out = F.atan2(z2 + e2 / (1 - e2) * b * F.pow(F.sin(t), 3), p - e2 * a * F.pow(F.cos(t), 3))
+    return F.degrees(out), F.degrees(F.atan2(y2, x2))
+
+
 def wkb_parts(data: bytes) -> list[list[list[tuple[float, float]]]]:
     """Polygons > rings > points of a WKB geometry; points and lines are one ring."""
 
