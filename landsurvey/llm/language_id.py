@@ -29,6 +29,7 @@ from .words import FOLD
 WINDOW, WIDTHS, FILTERS, DIM = 128, (2, 3, 4), 16, 8
 SAMPLE, WINDOWS_A_TEXT, EPOCHS, BATCH = 1500, 6, 6, 128
 SLICE_BYTES = 128 << 10
+AT_ONCE = 128  # windows, so that responses stay in cache
 BLANK, UNKNOWN = 0x20, "und"
 
 
@@ -91,21 +92,22 @@ class ByteNet:
                 adam.step(0, de)
 
     def tables(self) -> None:
-        """Filter responses by pairs of bytes: widths 2, 3 and 4 begin with one pair."""
+        """Filter responses by pairs of bytes, as 16-bit steps: widths 2, 3 and 4 begin
+        with one pair. Sums of two entries stay inside 16 bits."""
         part = [[self.embed @ f[j * DIM : (j + 1) * DIM] for j in range(k)] for k, f in zip(WIDTHS, self.filters, strict=True)]
         pair = lambda a, b: (a[:, None] + b[None]).reshape(65536, FILTERS)
-        self.head = np.concatenate([pair(p[0], p[1]) for p in part], axis=1)
-        self.third = part[1][2]
-        self.tail = pair(part[2][2], part[2][3])
+        found = np.concatenate([pair(p[0], p[1]) for p in part], axis=1), part[1][2], pair(part[2][2], part[2][3])
+        self.scale = 32767 / (2.05 * max(np.abs(x).max() for x in found) + 1e-9)
+        self.head, self.third, self.tail = (np.round(x * self.scale).astype(np.int16) for x in found)
 
     def log_probs(self, windows: np.ndarray) -> np.ndarray:
-        pairs = windows[:, :-1].astype(np.int32) * 256 + windows[:, 1:]
-        h = self.head[pairs]
+        pairs = windows[:, :-1].astype(np.intp) * 256 + windows[:, 1:]
+        h = np.take(self.head, pairs, axis=0)
         a, b, c = h[:, :, :FILTERS].max(axis=1), h[:, :-1, FILTERS : 2 * FILTERS], h[:, :-2, 2 * FILTERS :]
-        b = (b + self.third[windows[:, 2:]]).max(axis=1)
-        c = (c + self.tail[pairs[:, 2:]]).max(axis=1)
-        z = np.maximum(np.concatenate([a, b, c], axis=1) + self.bias, 0)
-        return np.log(softmax(z @ self.out + self.out_bias) + 1e-12)
+        b += np.take(self.third, windows[:, 2:], axis=0)
+        c += np.take(self.tail, pairs[:, 2:], axis=0)
+        z = np.concatenate([a, b.max(axis=1), c.max(axis=1)], axis=1) / self.scale
+        return np.log(softmax(np.maximum(z + self.bias, 0) @ self.out + self.out_bias) + 1e-12)
 
 
 def sample_windows(spark: SparkSession, docs: DataFrame) -> tuple[np.ndarray, list[str]]:
@@ -156,7 +158,7 @@ def predict(spark: SparkSession, docs: DataFrame, net: ByteNet | None) -> DataFr
             labels, scores = np.full(len(text), UNKNOWN, object), np.zeros(len(text))
             for first, bounds, raw in utf8_slices(text, SLICE_BYTES) if net else ():
                 windows, counts = windows_of(raw, bounds)
-                logs = np.concatenate([net.log_probs(windows[i : i + 1024]) for i in range(0, len(windows), 1024)] or [np.empty((0, len(net.languages)))])
+                logs = np.concatenate([net.log_probs(windows[i : i + AT_ONCE]) for i in range(0, len(windows), AT_ONCE)] or [np.empty((0, len(net.languages)))])
                 full = np.flatnonzero(counts)
                 if not len(full):
                     continue

@@ -62,3 +62,17 @@ def test_toxicity_odd_rows(spark, odd, nothing):
     assert len({r.score for r in rows if r.doc_id in (1, 2, 3)}) == 1
     assert toxicity.report(spark, nothing, labels).count() == 0
     assert {r.score for r in toxicity.report(spark, odd, labels.limit(0)).collect()} == {0.0}
+
+
+def test_tables_are_the_convolution():
+    rng = np.random.default_rng(0)
+    net = language_id.ByteNet(["a", "b"])
+    net.bias[:] = rng.normal(0, 0.1, net.bias.shape)
+    net.tables()
+    windows = rng.integers(0, 256, (5, language_id.WINDOW)).astype(np.uint8)
+    e, out = net.embed[windows], []
+    for k, f in zip(language_id.WIDTHS, net.filters, strict=True):
+        out.append(np.max([[np.concatenate(x[i : i + k]) @ f for i in range(language_id.WINDOW - k + 1)] for x in e], axis=1))
+    z = np.maximum(np.concatenate(out, axis=1) + net.bias, 0) @ net.out + net.out_bias
+    want = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    assert np.abs(net.log_probs(windows) - want).max() < 5e-3
