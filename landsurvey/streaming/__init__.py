@@ -1,0 +1 @@
+"""Nothing here streams: survey inputs are static files and results replace whole tiles."""
