@@ -43,10 +43,12 @@ def gradient(z: Column | str, part: list[str], along: str) -> Column:
     return F.when(first & last, 0.0).when(first, after - z).when(last, z - before).otherwise((after - before) / 2)
 
 
-def slope_degrees(cells: DataFrame, px: tuple[float, float], part: list[str] = [], z: str = "z") -> DataFrame:  # noqa: B006
-    """cells with slope; part limits neighbours to a tile (T31), none is site-wide."""
+def slope_degrees(cells: DataFrame, px: tuple[float, float], part: list[str] = [], z: str = "z", calm: str | None = None) -> DataFrame:  # noqa: B006
+    """cells with slope; part limits neighbours to a tile (T31), none is site-wide. With
+    calm, also dz: the calmest step of that column."""
     gx, gy = gradient(z, [*part, "row"], "col"), gradient(z, [*part, "col"], "row")
-    out = cells.withColumn("gx", gx / px[0]).withColumn("gy", gy / px[1])
+    # one projection: windows of one direction share a shuffle and a sort
+    out = cells.withColumns({"gx": gx / px[0], "gy": gy / px[1], **({"dz": calmest_step(calm)} if calm else {})})
     return out.withColumn("slope", F.degrees(F.atan(F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy"))))).drop("gx", "gy")
 
 
@@ -63,7 +65,7 @@ def calmest_step(z: str = "z") -> Column:
 def ground_flags(cells: DataFrame, px: tuple[float, float], level: float, tolerance: float, flat: float, foreshore: float, beach: Column) -> DataFrame:
     """cells with water and sand (T32, T33): below the level by 0.1 m, or near it and
     flat, is water; beaches and what lies under the foreshore height are sand."""
-    out = cells.withColumn("dz", calmest_step())
+    out = cells if "dz" in cells.columns else cells.withColumn("dz", calmest_step())
     near = (F.abs(F.col("z") - level) < tolerance) & (F.col("dz") < flat * min(px))
     out = out.withColumn("water", F.coalesce((F.col("z") < level - 0.1) | near, F.lit(False)))
     return out.withColumn("sand", (F.coalesce(F.col("z") < foreshore, F.lit(False)) | beach) & ~F.col("water"))
@@ -135,24 +137,24 @@ def nearest_fill(values: np.ndarray, bad: np.ndarray) -> str:
 
 
 def fill_tiles(spark: SparkSession, cells: DataFrame, method: str = "nearest") -> DataFrame:
-    """tile_x, tile_y, r, c, z, fill: every tile filled from its own cells.
-    A tile is at most 513 x 513 cells, which bounds what one task holds."""
+    """tile_x, tile_y, r, c, z, fill, nodata: every tile filled from its own cells (T35,
+    T36). A tile is at most 513 x 513 cells, which bounds what one task holds."""
     if method == "median":
         by = Window.partitionBy("tile_x", "tile_y")
         mid = F.coalesce(F.expr("median(z)").over(by), F.lit(0.0))
         whole, some = F.count("z").over(by) == 0, F.count("z").over(by) < F.count(F.lit(1)).over(by)
         name = F.when(whole, "all-nodata -> 0").when(some, "median (degraded)").otherwise("none")
-        return cells.select("tile_x", "tile_y", "r", "c", F.coalesce("z", mid).alias("z"), name.alias("fill"))
+        return cells.select("tile_x", "tile_y", "r", "c", F.coalesce("z", mid).alias("z"), name.alias("fill"), F.col("z").isNull().alias("nodata"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         r, c = pdf["r"].to_numpy() - pdf["r"].min(), pdf["c"].to_numpy() - pdf["c"].min()
         grid = np.full((r.max() + 1, c.max() + 1), np.nan)
         grid[r, c] = pdf["z"].to_numpy(dtype=float, na_value=np.nan)
         name = nearest_fill(grid, np.isnan(grid))
-        return pdf[["tile_x", "tile_y", "r", "c"]].assign(z=grid[r, c], fill=name)
+        return pdf[["tile_x", "tile_y", "r", "c"]].assign(z=grid[r, c], fill=name, nodata=pdf["z"].isna())
 
     ship(spark)
-    return cells.select("tile_x", "tile_y", "r", "c", "z").groupBy("tile_x", "tile_y").applyInPandas(fill, "tile_x int, tile_y int, r int, c int, z double, fill string")
+    return cells.select("tile_x", "tile_y", "r", "c", "z").groupBy("tile_x", "tile_y").applyInPandas(fill, "tile_x int, tile_y int, r int, c int, z double, fill string, nodata boolean")
 
 
 def encode_heights(z: Column | str, base: float | Column, size: float | Column) -> Column:

@@ -127,7 +127,7 @@ BANDS = f"""{CLASSED}, bl AS (
 bk AS (SELECT *, least(greatest(k0 * (1 - s - w), 0), 1) AS k FROM bl),
 bg AS (SELECT *, least(greatest(1 - s - k - w, 0), 1) AS g FROM bk),
 bands AS (SELECT tile_x, tile_y, br, bc, floor(g * 255)::INT AS grass, floor(s * 255)::INT AS sand, floor(k * 255)::INT AS rock, floor(w * 255)::INT AS water FROM bg)"""
-ZONAL = """px AS (SELECT l_partkey AS idx, CASE WHEN l_returnflag <> 'N' THEN l_quantity / 4 END AS ndsm, l_tax * 100 + l_discount * 10 AS dtm FROM lineitem WHERE l_partkey % 17 <> 0),
+ZONAL = """px AS (SELECT l_partkey AS idx, CASE WHEN l_partkey % 17 <> 0 AND l_returnflag <> 'N' THEN l_quantity / 4 END AS ndsm, CASE WHEN l_partkey % 17 <> 0 THEN l_tax * 100 + l_discount * 10 END AS dtm FROM lineitem),
 zn AS (
   SELECT idx, quantile_cont(ndsm, 0.25) AS p25, quantile_cont(ndsm, 0.5) AS p50, quantile_cont(ndsm, 0.9) AS p90, count(ndsm)::INT AS npx,
          quantile_cont(dtm, 0.15) AS d15, min(dtm) AS dmin FROM px GROUP BY idx HAVING count(dtm) > 0)"""

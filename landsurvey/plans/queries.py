@@ -147,7 +147,7 @@ def calmest_neighbour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _classed(spark: SparkSession, sf: str) -> DataFrame:
-    cells = raster.slope_degrees(v.cells(spark, sf).withColumn("zz", F.coalesce("z", F.lit(0.0))), (PX, PX), z="zz")
+    cells = raster.slope_degrees(v.cells(spark, sf).withColumn("zz", F.coalesce("z", F.lit(0.0))), (PX, PX), z="zz", calm="z")
     cells = cells.withColumn("rock", raster.rock_ramp("slope", *SITE.rock_slope))
     beach = (F.col("row") + F.col("col")) % 11 == 0
     return raster.ground_flags(cells, (PX, PX), SITE.water_level, SITE.water_tolerance, SITE.water_flat_dz_per_m, SITE.foreshore_max, beach)

@@ -56,10 +56,8 @@ class Build:
         return points.join(raster.bilinear(at, key, self.inputs.dtm, self.shape), key, "left")
 
     def terrain(self) -> DataFrame:
-        here = self.cells.filter(self.inside)
-        filled = raster.fill_tiles(self.spark, here)
-        holes = here.select("tile_x", "tile_y", "r", "c", F.col("z").isNull().alias("nodata"))
-        cells = filled.join(holes, ["tile_x", "tile_y", "r", "c"]).withColumnRenamed("r", "row").withColumnRenamed("c", "col")
+        filled = raster.fill_tiles(self.spark, self.cells.filter(self.inside))
+        cells = filled.withColumnRenamed("r", "row").withColumnRenamed("c", "col")
         return tiles.terrain_stats(raster.slope_degrees(cells, (self.inputs.px,) * 2, ["tile_x", "tile_y"]))
 
     def ways(self) -> DataFrame:
@@ -77,6 +75,12 @@ class Build:
         )
         return segments.unionByName(discs, allowMissingColumns=True)
 
+    def numbered(self, cells: DataFrame) -> DataFrame:
+        """cells with cx, cy: their place from the site's origin."""
+        e0, n0 = self.site.origin
+        place = lambda c, o: F.round((F.col(c) - o) / self.inputs.px).cast("bigint")
+        return cells.withColumns({"cx": place("e", e0), "cy": place("n", n0)})
+
     def footprints(self) -> DataFrame:
         return self.inputs.areas.filter("building IS NOT NULL AND building <> 'no'")
 
@@ -84,12 +88,12 @@ class Build:
         feet = self.footprints()
         shapes = feet.select("idx", F.flatten("polys").alias("rings"))
         cells = polygons.rasterise_all(shapes, self.site.origin, self.inputs.px, self.inputs.px / 2)
-        e0, n0 = self.site.origin
-        both = raster.height_above_ground(self.inputs.dtm, self.inputs.dsm).select(
-            F.round((F.col("e") - e0) / self.inputs.px).cast("bigint").alias("cx"), F.round((F.col("n") - n0) / self.inputs.px).cast("bigint").alias("cy"),
-            F.col("z").cast("double").alias("dtm"), F.col("ndsm").cast("double").alias("ndsm"),
-        )
-        rows = massing.evidence(feet, massing.zonal(cells.join(both, ["cx", "cy"]).select("idx", "ndsm", "dtm")))
+        # cells of footprints first, which are few, and then their heights
+        ground = self.numbered(self.inputs.dtm).select("cx", "cy", F.col("z").cast("double").alias("dtm"))
+        top = self.numbered(self.inputs.dsm).select("cx", "cy", F.col("z").cast("double").alias("dsm"))
+        pixels = cells.join(ground, ["cx", "cy"]).join(top, ["cx", "cy"], "left").select("idx", (F.col("dsm") - F.col("dtm")).alias("ndsm"), "dtm")
+        # one row a footprint, read by the fit, its second pass and the ladder
+        rows = massing.evidence(feet, massing.zonal(pixels).persist())
         line = massing.calibrate(rows, self.tuning, self.site.calibration)
         marks = self.site.landmark_rows(self.spark)
         return massing.ladder(rows, line, self.tuning.prior_rows(self.spark), marks, self.tuning, self.site.calibration.dispute)
@@ -104,10 +108,8 @@ class Build:
 
     def ground(self) -> DataFrame:
         site, px = self.site, self.inputs.px
-        zero = raster.slope_degrees(self.cells.withColumn("zz", F.coalesce("z", F.lit(0.0))), (px, px), z="zz")
-        cells = zero.withColumn("rock", raster.rock_ramp("slope", *site.rock_slope))
-        e0, n0 = site.origin
-        cells = cells.withColumn("cx", F.round((F.col("e") - e0) / px).cast("bigint")).withColumn("cy", F.round((F.col("n") - n0) / px).cast("bigint"))
+        zero = raster.slope_degrees(self.cells.withColumn("zz", F.coalesce("z", F.lit(0.0))), (px, px), z="zz", calm="z")
+        cells = self.numbered(zero.withColumn("rock", raster.rock_ramp("slope", *site.rock_slope)))
         beach = self.inputs.areas.filter(F.col("natural").isin("beach", "sand", "shingle")).select("idx", F.flatten("polys").alias("rings"))
         sandy = polygons.judged(beach, site.origin, px).filter("inside").select("cx", "cy").distinct().withColumn("beach", F.lit(True))
         cells = cells.join(sandy, ["cx", "cy"], "left").withColumn("beach", F.coalesce("beach", F.lit(False)))
@@ -136,8 +138,11 @@ class Build:
     def write(self, path: str, only: str | None = None) -> None:
         """Products by tile and a manifest of each, old ones replaced."""
         order = {"terrain": ["min_m"], "networks": ["cls"], "massing": ["id"], "ground": ["br", "bc"], "furniture": ["id"]}
-        for name, df in self.products(only).items():
+        networks = None
+        for name in [s for s in STEPS if s in self.products(only)]:
+            df = self.furniture(networks) if name == "furniture" else getattr(self, name)()
             records.write_tiles(df, f"{path}/{name}", order[name])
             back = self.spark.read.schema(df.schema).json(f"{path}/{name}")
+            networks = back if name == "networks" else networks  # furniture reads what was written
             facts = {"rows": F.count(F.lit(1)), "tiles": F.count_distinct("tile_x", "tile_y"), "site": F.lit(self.site.name), "crs": F.lit(self.site.crs), "tile_m": F.lit(self.site.tile)}
             back.agg(records.manifest(**facts)).coalesce(1).write.mode("overwrite").text(f"{path}/{name}_manifest")

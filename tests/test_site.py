@@ -84,7 +84,7 @@ def test_furniture(build):
 
 
 def test_write(build, tmp_path):
-    build.write(str(tmp_path), "massing")
+    build.write(str(tmp_path))
     (file,) = (tmp_path / "massing_manifest").glob("*.txt")
     assert json.loads(file.read_text()) == {"rows": 2, "tiles": 1, "site": "a", "crs": "EPSG:27700", "tile_m": 512.0}
     with pytest.raises(ValueError, match="no step"):
