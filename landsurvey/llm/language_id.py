@@ -37,6 +37,9 @@ def windows_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     """All windows of the rows of a slice, and how many each row has."""
     counts = -(-np.diff(bounds) // WINDOW)
     out = np.full(int(counts.sum()) * WINDOW, BLANK, np.uint8)
+    if len(bounds) == 2:  # one row, perhaps a long one
+        out[: len(raw)] = FOLD[raw]
+        return out.reshape(-1, WINDOW), counts
     to = np.concatenate([[0], np.cumsum(counts) * WINDOW])[:-1]
     out[np.arange(len(raw)) + np.repeat(to - bounds[:-1], np.diff(bounds))] = FOLD[raw]
     return out.reshape(-1, WINDOW), counts

@@ -124,8 +124,7 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     second = first[first < last] + 1
     ids[4, second] = 0
     text_size = np.diff(bounds)
-    upto = np.concatenate([[0], np.cumsum(kind, dtype=np.int64)])
-    share = (upto[bounds[1:]] - upto[bounds[:-1]]) / np.maximum(text_size, 1)
+    share = np.bincount(row, digits, len(text_size)) / np.maximum(text_size, 1)
     ids[6] = (np.searchsorted([0.005, 0.03, 0.1], share, "right") * 4 + np.searchsorted([300, 3000, 30000], text_size, "right"))[row]
     ids[7] = size * 8 + (digits > 0) + 2 * (small + capital + high > 0) + 4 * (mark > 0)
     return starts, ends, rows, ids

@@ -23,6 +23,8 @@ never name a component unless it has no other id; extra columns are ignored by
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,24 +34,43 @@ from pyspark.sql import functions as F
 from .common import join_counted, map_batches, materialise, plain_columns
 
 SEED = 42
-CHUNK = 255 * 64
+CHUNK, BLOCK = 255 * 64, 1 << 20
+BLANK = re.compile(rb"[ \t\n\r\x0b\x0c]")
+
+
+def _blocks(text: bytes):
+    """The text in blocks that end before a blank, so that long ones are not held as words."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > BLOCK:
+            blank = BLANK.search(text, at + BLOCK)
+            end = blank.start() if blank else end
+        yield text[at:end]
+        at = end
 
 
 def fingerprint(text: bytes, width: int = 3) -> int:
     """Unsigned 64-bit fingerprint of one UTF-8 text."""
-    words = text.lower().split()  # on bytes: A-Z and ASCII white space only
-    n = len(words)
-    if not n:
-        return 0
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_digest
-    if n <= width:
-        return int.from_bytes(digest(joined, SEED), "big")
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
-    starts = np.concatenate([[0], ends[: n - width] + 1]).tolist()
-    ends = ends[width - 1 :].tolist()
-    total, n = np.zeros(64, np.int64), len(starts)
-    for i in range(0, n, CHUNK):
+    total, n, words = np.zeros(64, np.int64), 0, []
+    for block in _blocks(text):
+        words = words + block.lower().split()  # on bytes: A-Z and ASCII white space only
+        if len(words) >= width:
+            n += len(words) - width + 1
+            total += _bit_counts(words, width)
+            words = words[len(words) - width + 1 :]
+    if not n and words:
+        return int.from_bytes(xxhash.xxh64_digest(b" ".join(words), SEED), "big")
+    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big") if n else 0
+
+
+def _bit_counts(words: list[bytes], width: int) -> np.ndarray:
+    """How many shingles of width words have each hash bit set, highest bit first."""
+    joined, digest = b" ".join(words), xxhash.xxh64_digest
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
+    ends, total = ends[width - 1 :].tolist(), np.zeros(64, np.int64)
+    for i in range(0, len(starts), CHUNK):
         part = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts[i : i + CHUNK], ends[i : i + CHUNK], strict=True)])
         bits = np.unpackbits(np.frombuffer(part, np.uint8)).reshape(-1, 64)
         if pad := -len(bits) % 255:
@@ -57,7 +78,7 @@ def fingerprint(text: bytes, width: int = 3) -> int:
         # 255 rows at a time fit eight one-byte counters in each 64-bit word
         sums = np.add.reduce(bits.view(np.uint64).reshape(-1, 255, 8), axis=1)
         total += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+    return total
 
 
 def fingerprints(spark: SparkSession, docs: DataFrame, width: int = 3) -> DataFrame:

@@ -15,6 +15,7 @@ DARK[0x09:0x0E] = DARK[0x20] = False
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
 
+BLOCK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
@@ -42,12 +43,21 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """A 64-bit hash of each word's bytes that depends on nothing else.
 
     Sums of byte * base**position up to every byte give each word's sum by one
-    subtraction; base**-start makes it the same wherever the word stands.
+    subtraction; base**-start makes it the same wherever the word stands. Words are
+    taken in blocks, so that a long text needs no more memory than a short one.
     """
-    if not len(starts):
-        return np.empty(0, np.uint64)
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
+        out[i:j] = _block_hashes(raw[starts[i] : ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i])
+        i = j
+    return out
+
+
+def _block_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     while len(_POWERS[0]) < len(raw):
-        n = max(1 << 20, 2 * len(_POWERS[0]), len(raw))
+        n = max(BLOCK, len(raw))
         _POWERS[:] = [byte_powers(n, BASE), byte_powers(n, INVERSE)]
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[0][: len(raw)], out=sums[1:])

@@ -36,3 +36,15 @@ def test_shards_agree(spark, sf_dir, monkeypatch):
     one = got(op.report(spark, docs, bench))
     monkeypatch.setattr(op, "SHARD_WINDOWS", 400)
     assert got(op.report(spark, docs, bench)) == one
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    import numpy as np
+    from landsurvey.llm import words
+
+    raw = np.frombuffer(("ab " * 500 + LONG[:3000] + " " + "x" * 700).encode(), np.uint8)
+    starts, ends = words.word_bounds(raw, words.ALNUM, np.array([0, len(raw)]))
+    one = words.word_hashes(raw, starts, ends)
+    monkeypatch.setattr(words, "BLOCK", 64)
+    assert (words.word_hashes(raw, starts, ends) == one).all()
+    assert one[0] == one[7] != one[-1]

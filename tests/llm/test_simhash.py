@@ -23,6 +23,18 @@ def test_odd_rows(spark, odd, nothing):
     assert kept.count() == len({x[2] for x in brute.simhash(ODD)})
 
 
+def test_blocks_change_no_fingerprint(monkeypatch):
+    rng = random.Random(2)
+    for i in range(60):
+        text = "".join(rng.choice("ab \n\té") for _ in range(rng.randrange(0, 400))).encode()
+        for width in (1, 3, 5):
+            monkeypatch.setattr(simhash, "BLOCK", 1 << 20)
+            whole = simhash.fingerprint(text, width)
+            assert whole == brute.fingerprint(text.decode(), width)
+            monkeypatch.setattr(simhash, "BLOCK", 1 + i % 40)
+            assert simhash.fingerprint(text, width) == whole
+
+
 def test_links_reach_the_stated_distance(spark):
     base = 0x0123456789ABCDEF
     for bits in (1, 3, 5):
