@@ -130,7 +130,7 @@ def pack_conversations(spark: SparkSession, rows: DataFrame, pack: int = PACK) -
     nodes = held.select("row_id", F.posexplode("prefixes").alias("depth", "prefix"))
     hot = materialise(spark, nodes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > pack), "chat-hot")
     deepest = (
-        join_counted(nodes, hot.withColumn("sharing", F.col("n")), "prefix", total)
+        join_counted(nodes, hot.withColumn("sharing", F.col("n")), "prefix", held.agg(F.sum(F.size("prefixes"))).first()[0] or 0)
         .groupBy("row_id")
         .agg(F.max(F.struct("depth", "prefix", "sharing")).alias("hot"))
     )

@@ -21,12 +21,20 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, fresh_path, join_counted, materialise, plain_columns
 
+LEAST_BUCKETS, ROWS_A_BUCKET = 48, 4_000_000
+
 
 class DigestIndex:
-    """One folder holding (digest, keep_id), hashed into a fixed number of buckets."""
+    """One folder holding (digest, keep_id), hashed into a fixed number of buckets.
+
+    A new index gets a bucket for each ROWS_A_BUCKET rows expected, at least
+    LEAST_BUCKETS; one that is there keeps the number it was made with."""
 
-    def __init__(self, spark: SparkSession, location: str, buckets: int = 48):
+    def __init__(self, spark: SparkSession, location: str, buckets: int | None = None, rows: int = 0):
+        buckets = self._made_with(spark, location) or buckets or max(LEAST_BUCKETS, rows // ROWS_A_BUCKET)
         self.spark, self.buckets = spark, buckets
+        home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/digests_{buckets}")
+        home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(home)  # names the number of buckets
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
@@ -34,6 +42,12 @@ class DigestIndex:
             f"LOCATION '{location}/digests_{buckets}'"
         )
 
+    @staticmethod
+    def _made_with(spark: SparkSession, location: str) -> int | None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/digests_*")
+        found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+        return int(found[0].getPath().getName().removeprefix("digests_")) if found else None
+
     def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
@@ -85,12 +99,12 @@ class DigestIndex:
         )
 
 
-def exact_duplicates(spark: SparkSession, docs: DataFrame, location: str | None = None, buckets: int = 48) -> DataFrame:
+def exact_duplicates(spark: SparkSession, docs: DataFrame, location: str | None = None, buckets: int | None = None) -> DataFrame:
     """Decisions on docs against the index in location (a new one if not given)."""
-    return DigestIndex(spark, location or fresh_path(spark, "digest-index"), buckets).decide(docs)
+    return DigestIndex(spark, location or fresh_path(spark, "digest-index"), buckets, docs.count()).decide(docs)
 
 
-def dedup(spark: SparkSession, docs: DataFrame, location: str | None = None, buckets: int = 48) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, location: str | None = None, buckets: int | None = None) -> DataFrame:
     """The rows of docs that stay, all columns unchanged."""
     held = materialise(spark, docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "exact-input")
     keyed = held.select("row_id", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"))

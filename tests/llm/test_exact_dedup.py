@@ -37,3 +37,9 @@ def test_index_persists(spark):
     # adding the first batch again changes nothing
     assert keep(op.exact_duplicates(spark, one, place)) == first
     assert op.DigestIndex(spark, place).rows().count() == 3
+    # an index keeps its number of buckets
+    small = fresh_path(spark, "index-test")
+    op.DigestIndex(spark, small, 5)
+    op.DigestIndex(spark, small).add(spark.createDataFrame([(bytearray(b"x"), 1)], "digest binary, keep_id bigint"))
+    again = op.DigestIndex(spark, small, 7)
+    assert again.buckets == 5 and again.rows().count() == 1
