@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +37,42 @@ def map_batches(spark: SparkSession, df: DataFrame, run, schema: str) -> DataFra
 def fresh_path(spark: SparkSession, name: str) -> str:
     """An unused folder in the shared one; Hadoop removes it when the session ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    files, where = _files(spark, path)
+    files.deleteOnExit(where)
+    if _collecting:
+        _collecting[-1].append(path)
     return path
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def collected(paths: list[str]):
+    """Note in paths the folders that fresh_path gives out meanwhile."""
+    _collecting.append(paths)
+    try:
+        yield
+    finally:
+        _collecting.pop()
+
+
+def release(spark: SparkSession, paths: list[str], needed: DataFrame) -> None:
+    """Delete the noted folders, but for those that needed reads from."""
+    read = needed.inputFiles() if paths else []
+    kept = [p for p in paths if any(f"{p.split('/')[-1]}/" in f for f in read)]
+    for p in paths:
+        if p not in kept:
+            files, where = _files(spark, p)
+            files.delete(where, True)
+    paths[:] = kept
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write df as Parquet in the shared folder and read it back."""
     path = fresh_path(spark, name)

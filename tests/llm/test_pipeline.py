@@ -51,3 +51,22 @@ def test_odd_rows(spark, odd, nothing, tmp_path):
             docs = stage(spark, docs, str(tmp_path))
             assert set(rows.columns) <= {*docs.columns}, name
         assert docs.count() == 0 if rows is nothing else docs.count() > 0
+
+
+def test_stages_clear_what_earlier_ones_wrote(spark, tmp_path):
+    import glob
+
+    from landsurvey.llm.common import shared_dir
+
+    docs = spark.createDataFrame([(i, f"text {i % 3} of some words", "en", "s") for i in range(9)], "doc_id bigint, text string, lang string, source string")
+    left = lambda: set(glob.glob(shared_dir(spark).removeprefix("file://") + "/*"))
+    before = left() - {p for p in left() if any(p.endswith(x.split("/")[-1]) for x in pipeline._leftovers)}
+    first = pipeline.drop_exact_copies(spark, docs, "")
+    # read lazily by the next stage: kept until its result is written
+    second = pipeline.drop_near_copies(spark, first, "")
+    assert second.count() == 3
+    second.write.parquet(str(tmp_path / "out"))
+    third = pipeline.mix_sources(spark, spark.read.parquet(str(tmp_path / "out")), "")
+    names = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in left() - before}
+    assert "exact-input" not in names and "near-input" not in names and "mix-input" in names
+    assert third.count() > 0
