@@ -6,35 +6,59 @@ stage writes is what the next one reads.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from landsurvey.llm import decontamination, exact_dedup, mixing, simhash, toxicity
-from landsurvey.llm.common import materialise, read_table
+from landsurvey.llm.common import collected, materialise, read_table, release
 
 #: Fingerprint bits by which documents of one group may differ from the next one.
 NEAR_BITS = 5
 
 
+#: Folders that stages have written on the way and that are still there.
+_leftovers: list[str] = []
+
+
+def stage(f):
+    """A stage that first clears what earlier stages wrote on the way. Their results
+    are written by then, or are this stage's input, which keeps what it reads."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _leftovers, docs)
+        with collected(_leftovers):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network does not reject."""
     return toxicity.reject(spark, docs, read_table(spark, sf_dir, "labels"))
 
 
+@stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the largest id of each text."""
     return exact_dedup.dedup(spark, docs)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     return simhash.dedup(spark, docs, max_bits=NEAR_BITS)
 
 
+@stage
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     return decontamination.decontaminate(spark, docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes words of, and how many."""
     return mixing.mixed(spark, docs)
