@@ -32,12 +32,14 @@ def segments(vertices: DataFrame) -> DataFrame:
     )
 
 
-def nearest(nodes: DataFrame, pieces: DataFrame, origin: tuple[float, float], tile: float, snap: float, longest: float, bucket: float = BUCKET) -> DataFrame:
+def nearest(nodes: DataFrame, pieces: DataFrame, origin: tuple[float, float], tile: float, snap: float, longest: float, bucket: float | None = None) -> DataFrame:
     """nodes (id, e, n) with the nearest piece within snap: d, t, de, dn, side and foot.
 
     Pieces are filed by the bucket of their middle and nodes look into 3 x 3 of them,
-    which finds all pieces within snap if bucket >= snap + longest / 2. Of equal
+    which finds all pieces within snap if bucket >= snap + longest / 2; the usual bucket
+    grows to that. Of equal
     distances the first by tile offset, line and place counts (T28, T29)."""
+    bucket = bucket or max(BUCKET, snap + longest / 2)
     if bucket < snap + longest / 2:
         raise ValueError(f"bucket {bucket} must be at least {snap + longest / 2}")
     cell = lambda c, o, size: F.floor((c - o) / size).cast("bigint")

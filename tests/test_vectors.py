@@ -173,7 +173,7 @@ def test_furniture(spark):
     assert pieces.count() == 2
     nodes = spark.createDataFrame([("n1", 10.0, 201.0), ("n2", 10.0, 205.0), ("n3", 10.0, 240.0), ("n4", 10.0, 200.0), ("n5", 20.0, 225.0)], "id string, e double, n double")
     with pytest.raises(ValueError, match="bucket"):
-        furniture.nearest(nodes, pieces, (0.0, 0.0), 512.0, 25.0, 100.0)
+        furniture.nearest(nodes, pieces, (0.0, 0.0), 512.0, 25.0, 100.0, bucket=64.0)
     found = furniture.nearest(nodes, pieces, (0.0, 0.0), 512.0, 25.0, 20.0)
     ways = spark.createDataFrame([("r", 7.0, 1.5, "residential")], "line string, w double, pav double, cls string")
     got = {r.id: r for r in furniture.place(found, ways, Tuning()).collect()}
