@@ -1,20 +1,23 @@
-"""Token counts with a public tokenizer, huge texts by overlap resynchronisation.
+"""Token counts with a public tokenizer, long texts by overlap resynchronisation.
 
 A text of more than CHUNK bytes is encoded in chunks that overlap, each with the
-offsets of its tokens. Two neighbours are spliced where both have a token
-boundary that is proven stable: an ASCII blank. For the tokenizers accepted here
-no token holds a blank, no rule looks across one, and normalisation neither
-joins what stands beside it nor depends on it, so what follows a blank is
-encoded as it is in the whole text. If an overlap has no such boundary, or the
-two encodings differ after it, the overlap is doubled, up to the whole text.
+offsets of what it holds. Two neighbours are spliced at a boundary that is proven
+stable, an ASCII blank, before a stretch on whose offsets and tokens both agree.
+For the tokenizers accepted here no token holds a blank, no rule looks across one,
+and normalisation neither joins what stands beside it nor depends on it, so what
+follows a blank is encoded as it is in the whole text. Where an overlap has no
+such boundary it is doubled; where a whole chunk has none the chunk is doubled, up
+to the whole text, so the work stays in proportion to the text.
 
-For the same reason a text that fits in one chunk is encoded piece by piece
-between blanks, and a piece met before is looked up by its 64-bit hash; the
-memory for pieces is bounded. The tests hold both ways against encoding each text whole.
+A chunk (or a short text) is encoded piece by piece between blanks, and a piece
+met before is looked up: by a 64-bit hash, and then its bytes are compared. What
+is remembered is bounded in pieces and in bytes. The tests hold counts against
+encoding each text whole.
 
 Defined results: null is empty text with no bytes and no tokens; special strings
 inside texts count as the library's default has them; repeated rows are counted
-row by row; extra columns are ignored.
+row by row; texts of any length are counted whole; extra columns are ignored; no
+rows give no rows.
 """
 
 from __future__ import annotations
@@ -31,11 +34,11 @@ from tokenizers import Tokenizer
 from .common import map_batches, plain_columns, utf8_slices
 from .words import ALNUM, DARK, FOLD, word_bounds, word_hashes
 
-CHUNK, OVERLAP, LIMIT = 1 << 16, 512, 2048
+CHUNK, OVERLAP, LIMIT = 1 << 12, 256, 2048
 SLICE_BYTES = 1 << 20
-MEMO = 2_000_000  # pieces remembered in a worker, 16 bytes each
+#: Pieces that a worker remembers, their bytes together, and the longest of them.
+MEMO, MEMO_BYTES, MEMO_PIECE = 2_000_000, 32 << 20, 64
 ALNUM_ASCII = ALNUM & (np.arange(256) < 0x80)
-BLANK = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
 #: Rules of the pre-tokenizers under which no token holds or sees past a blank.
 KNOWN_SPLITS = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
@@ -51,57 +54,115 @@ def blanks_are_stable(spec: dict) -> bool:
     return bool(splits and marks and plain and not any(s.get("add_prefix_space") for s in steps))
 
 
+def folds_case(spec: dict) -> bool:
+    """Whether the tokenizer lower-cases, so that A-Z may be folded before it."""
+    shapes = (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"] or {}])
+    return any(n.get("type") == "Lowercase" for n in shapes)
+
+
+def runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def equal_runs(one: np.ndarray, a: np.ndarray, two: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether one[a[i]:][:size[i]] is two[b[i]:][:size[i]], for each i."""
+    differ = one[runs(a, size)] != two[runs(b, size)]
+    upto = np.concatenate([[0], np.cumsum(differ)])
+    ends = np.cumsum(size)
+    return upto[ends] == upto[ends - size]
+
+
+class Memo:
+    """Counts of pieces by their bytes: sorted hashes, and the bytes to compare."""
+
+    def __init__(self):
+        self.keys, self.values, self.at, self.size = np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
+        self.data = np.empty(0, np.uint8)
+
+    def look_up(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, counts) of the pieces raw[starts:][:sizes] with these hashes."""
+        known, found = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at_hit = np.flatnonzero((self.keys[at] == keys) & (self.size[at] == sizes))
+            at = at[at_hit]
+            same = equal_runs(self.data, self.at[at], raw, starts[at_hit], sizes[at_hit])
+            known[at_hit[same]] = True
+            found[at_hit[same]] = self.values[at[same]]
+        return known, found
+
+    def add(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
+        """Remember pieces of distinct hashes; the old ones go when there are too many."""
+        if len(self.keys) + len(keys) > MEMO or len(self.data) + sizes.sum() > MEMO_BYTES:
+            self.__init__()
+        where = np.searchsorted(self.keys, keys)
+        there = np.append(self.keys, np.uint64(0))[where] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(~there & (sizes <= MEMO_PIECE))
+        keys, starts, sizes, counts, where = keys[new], starts[new], sizes[new], counts[new], where[new]
+        at = len(self.data) + np.cumsum(sizes) - sizes
+        self.data = np.concatenate([self.data, raw[runs(starts, sizes)]])
+        self.keys, self.values, self.at, self.size = (
+            np.insert(x, where, y) for x, y in ((self.keys, keys), (self.values, counts), (self.at, at), (self.size, sizes))
+        )
+
+
 class Counter:
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunk, self.overlap = chunk, overlap
-        self.keys, self.values = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.chunk, self.overlap, self.memo = chunk, overlap, Memo()
         with open(path, encoding="utf-8") as f:
-            if not blanks_are_stable(json.load(f)):
-                raise ValueError(f"blanks are not proven stable boundaries in {path}")
+            spec = json.load(f)
+        if not blanks_are_stable(spec):
+            raise ValueError(f"blanks are not proven stable boundaries in {path}")
+        self.folds = folds_case(spec)
+        self.marks = [FOLD[np.frombuffer(t["content"].encode(), np.uint8)].tobytes() for t in spec["added_tokens"] if t["content"]]
         # runs of up to three full stops (1) and commas (2), last one first
-        runs = ["".join(" .,"[c // 3**k % 3] for k in (2, 1, 0)).strip() for c in range(27)]
-        self.tails = np.array(self.whole(runs))
+        tails = ["".join(" .,"[c // 3**k % 3] for k in (2, 1, 0)).strip() for c in range(27)]
+        self.tails = np.array(self.whole(tails))
 
     def whole(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def small(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Counts of the texts of a slice, by their pieces."""
-        special = b"<|" in raw.tobytes()  # special strings keep their case
-        low = raw if special else FOLD[raw]
-        starts, ends = word_bounds(low, DARK, bounds)
+    def pieces(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and token counts of the pieces between blanks of all rows."""
+        low = raw
+        if self.folds:
+            low = FOLD[raw]
+            data = low.tobytes()
+            if any(m in data for m in self.marks):  # special strings keep their case
+                low = raw
+        starts, full_ends = word_bounds(low, DARK, bounds)
+        if not len(starts):
+            return starts, full_ends, np.zeros(0, np.int64)
         # Up to three full stops and commas after an ASCII letter or digit, before
         # a blank, are a run of their own.
         tail, code = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
         rest = np.arange(len(starts))
         for _ in range(4):
-            last = low[ends[rest] - tail[rest] - 1]
-            rest = rest[((last == 0x2E) | (last == 0x2C)) & (ends[rest] - tail[rest] - 1 > starts[rest])]
-            code[rest] += np.where(low[ends[rest] - tail[rest] - 1] == 0x2E, 1, 2) * 3 ** np.minimum(tail[rest], 3)
+            last = low[full_ends[rest] - tail[rest] - 1]
+            rest = rest[((last == 0x2E) | (last == 0x2C)) & (full_ends[rest] - tail[rest] - 1 > starts[rest])]
+            code[rest] += np.where(low[full_ends[rest] - tail[rest] - 1] == 0x2E, 1, 2) * 3 ** np.minimum(tail[rest], 3)
             tail[rest] += 1
-        keep = (tail > 3) | ~ALNUM_ASCII[low[ends - tail - 1]] if len(starts) else np.zeros(0, bool)
+        keep = (tail > 3) | ~ALNUM_ASCII[low[full_ends - tail - 1]]
         tail[keep] = code[keep] = 0
-        ends = ends - tail
-        hashes = word_hashes(low, starts, ends)
-        keys, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        found = np.zeros(len(keys), np.int64)
-        found[known] = self.values[at[known]]
-        new = np.flatnonzero(~known)
-        data = low.tobytes()
-        words = [data[starts[i] : ends[i]].decode() for i in first[new]]
-        found[new] = self.joined(words)
-        if len(self.keys) + len(new) > MEMO:
-            self.keys, self.values = keys, found
-        else:
-            where = np.searchsorted(self.keys, keys[new])
-            self.keys, self.values = np.insert(self.keys, where, keys[new]), np.insert(self.values, where, found[new])
-        upto = np.concatenate([[0], np.cumsum(found[back] + self.tails[code])])
-        return np.diff(upto[np.searchsorted(starts, bounds)])
+        ends = full_ends - tail
+        keys, first, back = np.unique(word_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        known, found = self.memo.look_up(keys, low, starts[first], (ends - starts)[first])
+        new, data = np.flatnonzero(~known), low.tobytes()
+        found[new] = self.joined([data[starts[i] : ends[i]].decode() for i in first[new]])
+        self.memo.add(keys[new], low, starts[first[new]], (ends - starts)[first[new]], found[new])
+        counts = found[back]
+        # equal hashes of different bytes: these pieces are counted by themselves
+        size, like = ends - starts, first[back]
+        other = np.flatnonzero(size != size[like])
+        alike = np.flatnonzero(size == size[like])
+        other = np.concatenate([other, alike[~equal_runs(low, starts[alike], low, starts[like[alike]], size[alike])]])
+        if len(other):
+            counts[other] = self.joined([data[starts[i] : ends[i]].decode() for i in other])
+        return starts, full_ends, counts + self.tails[code]
 
     def joined(self, words: list[str]) -> np.ndarray:
         """Counts of single words, encoded with blanks between them."""
@@ -114,71 +175,99 @@ class Counter:
             out[i : i + len(part)] = np.bincount(np.searchsorted(edges, begins, "right"), minlength=len(part))
         return out
 
-    def spans(self, raw: bytes, start: int, end: int) -> tuple[list[int], list[int]]:
-        """Token starts and ends, as bytes of the text, of raw[start:end]."""
-        part = raw[start:end]
-        offsets = np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-        at = np.flatnonzero((np.frombuffer(part, np.uint8) & 0xC0) != 0x80)  # byte position of each character
-        at = np.append(at, len(part)) + start
-        return at[offsets[:, 0]].tolist(), at[offsets[:, 1]].tolist()
+    def chunk_edges(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends, between characters, of the overlapping chunks of a text."""
+        ends = np.append(np.arange(self.chunk, len(raw), self.chunk), len(raw))
+        starts = np.maximum(0, np.concatenate([[0], ends[:-1] - self.overlap]))
+        for edge in (starts, ends):
+            for _ in range(3):
+                inside = edge < len(raw)
+                edge[inside] += (raw[edge[inside]] & 0xC0) == 0x80
+        return starts, ends
+
+    def counts(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Counts of the rows of a slice: short ones as one chunk, all chunks at once."""
+        size = np.diff(bounds)
+        edges = [self.chunk_edges(raw[a:b]) if n > self.chunk else (np.array([0]), np.array([n])) for a, b, n in zip(bounds, bounds[1:], size.tolist())]
+        row = np.repeat(np.arange(len(size)), [len(x) for x, _ in edges])
+        left = np.concatenate([x for x, _ in edges]) + bounds[row]
+        right = np.concatenate([y for _, y in edges]) + bounds[row]
+        cut = np.concatenate([[0], np.cumsum(right - left)])
+        starts, ends, n = self.pieces(raw[runs(left, right - left)], cut)
+        at = np.searchsorted(starts, cut)  # pieces of each chunk
+        chunk = np.repeat(np.arange(len(left)), np.diff(at))
+        starts, ends = (x - cut[chunk] + left[chunk] for x in (starts, ends))  # in the slice
+        upto = np.concatenate([[0], np.cumsum(n)])
+        out, done = np.zeros(len(size), np.int64), np.searchsorted(row, np.arange(len(size) + 1))
+        for i in range(len(size)):
+            first, last = int(done[i]), int(done[i + 1])
+            begin, total = int(at[first]), 0
+            for k in range(first, last - 1):
+                found = self.splice((starts, ends, n), begin, int(at[k + 1]), int(at[k + 2]), int(left[k + 1]), int(right[k]))
+                if found is None:
+                    total = self.widened(raw[bounds[i] : bounds[i + 1]])
+                    break
+                total += upto[found[0]] - upto[begin]
+                begin = found[1]
+            else:
+                total += upto[at[last]] - upto[begin]
+            out[i] = total
+        return out
+
+    @staticmethod
+    def splice(spans: tuple, begin: int, turn: int, stop: int, left: int, right: int) -> tuple[int, int] | None:
+        """Pieces begin..turn of one encoding and turn..stop of the next overlap in
+        left..right: the first piece after a blank on whose offsets and tokens both
+        agree, as its place in either."""
+        starts, ends, n = spans
+        a = begin + int(np.searchsorted(starts[begin:turn], left, "right"))
+        b, stop = turn, turn + int(np.searchsorted(starts[turn:stop], right))
+        b += int(np.searchsorted(starts[b:stop], left, "right"))
+        while a < turn and b < stop and ends[a] < right:
+            if starts[a] == starts[b]:
+                if ends[a] == ends[b] and n[a] == n[b]:
+                    return a, b
+                a, b = a + 1, b + 1
+            elif starts[a] < starts[b]:
+                a += 1
+            else:
+                b += 1
+        return None
 
-    def huge(self, raw: bytes) -> int:
-        """Count of one long text by overlapping chunks."""
+    def widened(self, raw: np.ndarray) -> int:
+        """Count of a text some of whose overlaps have no stable boundary."""
 
         def at_char(p: int) -> int:
             while p < len(raw) and raw[p] & 0xC0 == 0x80:
                 p += 1
             return min(p, len(raw))
 
-        total, start, floor, end = 0, 0, 0, at_char(self.chunk)
-        starts, ends = self.spans(raw, start, end)
-        while end < len(raw):
-            overlap = self.overlap
-            while True:
-                left = at_char(max(floor, end - overlap))
-                right = at_char(end + self.chunk)
-                next_starts, next_ends = self.spans(raw, left, right)
-                cut = self.common(raw, left, end, (starts, ends), (next_starts, next_ends))
-                if cut is not None:
-                    break
-                if left <= floor:  # no stable boundary in the whole chunk: make it longer
-                    end = right
-                    starts, ends = self.spans(raw, floor, end)
-                    if end >= len(raw):
-                        break
-                    overlap = self.overlap
-                else:
-                    overlap *= 2
-            if cut is None:
-                break
-            total += sum(floor <= a and b <= cut for a, b in zip(starts, ends, strict=True))
-            floor, end, starts, ends = cut, right, next_starts, next_ends
-        return total + sum(a >= floor for a in starts)
+        def encode(a: int, b: int) -> tuple:
+            starts, ends, n = self.pieces(raw[a:b], np.array([0, b - a]))
+            return starts + a, ends + a, n
 
-    @staticmethod
-    def common(raw: bytes, left: int, end: int, one: tuple, two: tuple) -> int | None:
-        """A blank in raw[left:end] from which both encodings agree up to the next
-        blank at least, and which no token of either covers."""
-        blanks = [m.start() for m in BLANK.finditer(raw, left, end)]
-        a, b = set(zip(*one, strict=True)), set(zip(*two, strict=True))
-        for p, q in zip(blanks, blanks[1:]):
-            inside = [s for s in a if p < s[0] < q or p < s[1] <= q]
-            other = [s for s in b if p < s[0] < q or p < s[1] <= q]
-            if inside and sorted(inside) == sorted(other) and all(p < s[0] and s[1] <= q for s in inside):
-                return p
-        return None
-
-    def counts(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Counts of the rows of a slice."""
-        out = np.zeros(len(bounds) - 1, np.int64)
-        long = np.flatnonzero(np.diff(bounds) > self.chunk)
-        for i in long:
-            out[i] = self.huge(raw[bounds[i] : bounds[i + 1]].tobytes())
-        edges = [-1, *long.tolist(), len(out)]
-        for a, b in zip(edges, edges[1:]):  # the short rows between long ones
-            if b - a > 1:
-                out[a + 1 : b] = self.small(raw[bounds[a + 1] : bounds[b]], bounds[a + 1 : b + 1] - bounds[a + 1])
-        return out
+        total, floor, end, overlap = 0, 0, at_char(self.chunk), self.overlap
+        here = encode(floor, end)
+        while end < len(raw):
+            whole = np.flatnonzero((here[0] > floor) & (here[1] < end))  # pieces between two blanks
+            if not len(whole) or end - overlap // 2 <= floor:  # no stable boundary: double the chunk
+                end, overlap = at_char(floor + 2 * (end - floor)), self.overlap
+                here = encode(floor, end)
+                continue
+            while end - overlap >= here[0][whole[-1]]:
+                overlap *= 2
+            left, right = at_char(max(floor, end - overlap)), at_char(end + self.chunk)
+            following = encode(left, right)
+            turn = len(here[0])
+            spans = tuple(np.concatenate([x, y]) for x, y in zip(here, following, strict=True))
+            found = self.splice(spans, 0, turn, len(spans[0]), left, end)
+            if found is None:  # the encodings differ: widen the overlap
+                overlap *= 2
+                continue
+            total += int(here[2][: found[0]].sum())
+            here = tuple(x[found[1] - turn :] for x in following)
+            floor, end, overlap = int(here[0][0]), right, self.overlap
+        return total + int(here[2].sum())
 
 
 _counters: dict[str, Counter] = {}

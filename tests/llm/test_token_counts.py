@@ -28,7 +28,11 @@ def test_odd_rows(spark, odd, nothing):
     assert op.token_counts(spark, nothing, PATH).count() == 0
 
 
-def test_chunks_and_pieces_equal_whole_encoding():
+def array(raw):
+    return np.frombuffer(raw, np.uint8)
+
+
+def test_chunks_equal_whole_encoding():
     rng = random.Random(1)
     counter = op.Counter(PATH)
     letters = "ab 'sé É\n\t<|endoftext|>0 9 .,́  \x1c\x85Σς中日.,. "
@@ -36,13 +40,44 @@ def test_chunks_and_pieces_equal_whole_encoding():
         t = "".join(rng.choice(letters) for _ in range(rng.randrange(0, 900)))
         t += "<|endoftext|>" + t[: i % 50] if i % 3 == 0 else ""
         t += "a" * 400 + "é" * 300 if i % 7 == 0 else ""
-        counter.chunk, counter.overlap = rng.choice([40, 100, 200]), rng.choice([4, 16, 60])
-        raw = t.encode()
-        want = counter.whole([t])[0]
-        assert counter.huge(raw) == want
-        assert counter.small(np.frombuffer(raw, np.uint8), np.array([0, 0, len(raw)])).tolist() == [0, want]
-    counter.chunk, counter.overlap = 1 << 14, 256
-    assert counter.huge(LONG.encode()) == counter.whole([LONG])[0]
+        raw, want = t.encode(), counter.whole([t])[0]
+        bounds = np.array([0, 0, len(raw), 2 * len(raw)])
+        for chunk, overlap in ((1 << 20, 256), (rng.choice([40, 100, 200]), rng.choice([4, 16, 30]))):
+            counter.chunk, counter.overlap = chunk, overlap
+            assert counter.counts(array(raw + raw), bounds).tolist() == [0, want, want]
+        assert counter.widened(array(raw)) == want
+    counter.chunk, counter.overlap = op.CHUNK, op.OVERLAP
+    assert counter.counts(array(LONG.encode()), np.array([0, len(LONG)])).tolist() == counter.whole([LONG])
+
+
+def test_many_texts_of_the_corpus_are_spliced(monkeypatch):
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    sizes = [len(t.encode()) for t in texts]
+    assert sum(n for n in sizes if n > op.CHUNK) > 0.4 * sum(sizes)
+    splices, splice = [], op.Counter.splice
+    monkeypatch.setattr(op.Counter, "splice", staticmethod(lambda *a: splices.append(splice(*a)) or splices[-1]))
+    got = op.Counter(PATH).counts(array("".join(texts).encode()), np.concatenate([[0], np.cumsum(sizes)]))
+    assert got.tolist() == whole(texts)
+    assert len(splices) > 200 and None not in splices
+
+
+def test_a_text_without_blanks_takes_time_in_proportion():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abc01中é/+") for _ in range(300_000))
+    counter, sizes, pieces = op.Counter(PATH), [], op.Counter.pieces
+    counter.pieces = lambda raw, bounds: sizes.append(len(raw)) or pieces(counter, raw, bounds)
+    text += " and words after it" * 500
+    assert counter.counts(array(text.encode()), np.array([0, len(text.encode())])).tolist() == counter.whole([text])
+    assert sum(sizes) < 8 * len(text.encode())
+
+
+def test_equal_hashes_of_different_words_are_told_apart(monkeypatch):
+    monkeypatch.setattr(op, "word_hashes", lambda raw, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    counter = op.Counter(PATH)
+    for text in ("cat dogs dog cats extraordinarily cat", "dog ab xyzzyq cat ÀÉ dogs"):
+        assert counter.counts(array(text.encode()), np.array([0, len(text.encode())])).tolist() == counter.whole([text])
 
 
 def test_unproven_tokenizers_are_refused():
