@@ -8,11 +8,16 @@ by hash, then byte by byte.
 
 Many rows are searched at once: each step moves one position of every lane.
 
+Spark makes the distinct windows and deals them into shards of bounded windows and
+bytes in the shared folder. One shard at a time comes to the driver, becomes tables
+and is broadcast, and each shard is a pass over the documents, so neither the driver
+nor an executor holds more than one, however large the benchmark.
+
 Defined results: null or empty text has no words and hits nothing; an item with
-no words has no window; items with equal windows all count; repeated rows are
-answered row by row; extra columns are ignored. The benchmark is reference data
-that is sent to every executor in shards of a fixed number of windows, and a
-second shard means a second pass, so no executor holds more than one shard.
+no words has no window; items with equal windows all count; windows of an item
+without an id are found but name no item; repeated rows are answered row by row;
+texts of any length are searched whole, in bounded steps; extra columns of any name
+are ignored by ``report`` and carried by ``decontaminate``; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -24,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, mix64, plain_columns, utf8_slices
+from .common import fresh_path, map_batches, materialise, mix64, plain_columns, utf8_slices
 from .words import ALNUM, FOLD, word_bounds, word_hashes
 
 WINDOW = 10
-SHARD_WINDOWS = 200_000
+SHARD_WINDOWS, SHARD_BYTES = 200_000, 32 << 20
 SLICE_BYTES = 1 << 20
 LANE_WORDS = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -40,24 +45,21 @@ def split_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low, starts, ends
 
 
-def windows_of(text: str | None, size: int = WINDOW) -> list[tuple[bytes, ...]]:
-    low, starts, ends = split_words(np.frombuffer((text or "").encode(), np.uint8))
-    words = [low[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-    if not words:
-        return []
-    if len(words) <= size:
-        return [tuple(words)]
-    return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+def windows_of(raw: bytes, size: int = WINDOW) -> Iterator[tuple[int, bytes]]:
+    """(number of words, words joined by blanks) of the windows of a UTF-8 text."""
+    low, starts, ends = split_words(np.frombuffer(raw, np.uint8))
+    n = min(size, len(starts))
+    for i in range(len(starts) - n + 1 if n else 0):
+        yield n, b" ".join([low[a:b].tobytes() for a, b in zip(starts[i : i + n], ends[i : i + n], strict=True)])
 
 
 class WindowSet:
     """Wu-Manber tables for windows of one length."""
 
-    def __init__(self, windows: list[tuple[bytes, ...]], items: list[list[int]]):
-        self.length = len(windows[0])
+    def __init__(self, length: int, joined: list[bytes], items: list[list[int]]):
+        self.length, windows = length, joined
         self.block = min(2, self.length)
         self.bits = max(12, min(22, int(np.ceil(np.log2(len(windows) * self.length + 1))) + 4))
-        joined = [b" ".join(w) for w in windows]
         raw = np.frombuffer(b"\n".join(joined), np.uint8)
         low, starts, ends = split_words(raw)
         hashes = word_hashes(low, starts, ends).reshape(len(windows), self.length)
@@ -116,17 +118,41 @@ class WindowSet:
         return np.concatenate(found_at), np.concatenate(found_w)
 
 
-def build_sets(items: list[tuple[int, str | None]], size: int = WINDOW) -> list[list[WindowSet]]:
-    """Shards of window sets by length."""
-    owners: dict[tuple[bytes, ...], list[int]] = {}
-    for item_id, text in items:
-        for w in windows_of(text, size):
-            owners.setdefault(w, []).append(item_id)
-    keys, shards = list(owners), []
-    for i in range(0, len(keys), SHARD_WINDOWS):
-        part = keys[i : i + SHARD_WINDOWS]
-        shards.append([WindowSet(of, [owners[w] for w in of]) for n in sorted({len(w) for w in part}) for of in [[w for w in part if len(w) == n]]])
-    return shards or [[]]
+def shards(spark: SparkSession, benchmark: DataFrame, size: int = WINDOW) -> Iterator[list[WindowSet]]:
+    """The windows of all items, shard by shard, as sets by length."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("item_id").to_pylist()
+            out: list[tuple] = []
+            for i, text in enumerate(batch.column("text").cast(pa.large_binary())):
+                for n, window in windows_of(text.as_buffer().to_pybytes() if text.is_valid else b"", size):
+                    out.append((ids[i], n, window))
+                    if len(out) == 10_000:
+                        yield _window_rows(out)
+                        out = []
+            yield _window_rows(out)
+
+    rows = plain_columns(benchmark, item_id=F.col("item_id").cast("bigint"), text=F.col("text"))
+    windows = map_batches(spark, rows, run, "item_id bigint, n bigint, window binary")
+    windows = materialise(spark, windows.groupBy("n", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items")), "benchmark-windows")
+    total = windows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("window") + 8 * F.size("items")).alias("bytes")).first()
+    count = max(-(-total["n"] // SHARD_WINDOWS), -(-(total["bytes"] or 0) // SHARD_BYTES))
+    if count > 1:
+        path = fresh_path(spark, "benchmark-shards")
+        windows.withColumn("shard", F.pmod(F.xxhash64("n", "window"), F.lit(count)).cast("int")).write.partitionBy("shard").parquet(path)
+        windows = spark.read.schema("n bigint, window binary, items array<bigint>, shard int").parquet(path)
+    for k in range(max(1, count)):
+        table = (windows.filter(F.col("shard") == k) if count > 1 else windows).select("n", "window", "items").toArrow().sort_by([("n", "ascending"), ("window", "ascending")])
+        lengths = table["n"].to_numpy()
+        edges = np.flatnonzero(np.diff(lengths, prepend=-1, append=-1)).tolist() if len(lengths) else []
+        parts = [table.slice(a, b - a) for a, b in zip(edges, edges[1:])]
+        yield [WindowSet(int(t["n"][0].as_py()), t["window"].to_pylist(), t["items"].to_pylist()) for t in parts]
+
+
+def _window_rows(rows: list[tuple]) -> pa.RecordBatch:
+    ids, sizes, windows = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(windows, pa.binary())], names=["item_id", "n", "window"])
 
 
 def find_hits(sets: list[WindowSet], raw: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, set]]:
@@ -178,15 +204,15 @@ def _search_rows(shared, first: bool):
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """docs (any columns, with text) plus n_words, hits (indices of hit words) and
     items (ids of the items with windows in the text)."""
-    items = [(r[0], r[1]) for r in benchmark.select("item_id", "text").toLocalIterator()]
-    shards = build_sets(items, size)
-    out = docs.drop("n_words", "hits", "items")
-    for i, sets in enumerate(shards):
-        if i:
+    out, before = docs.drop("n_words", "hits", "items"), None
+    for sets in shards(spark, benchmark, size):
+        if before:  # write what the shard before finds, and let it go
             out = materialise(spark, out, "decontamination-pass")
+            before.destroy()
         names = [f for f in out.schema.fields if f.name not in ("n_words", "hits", "items")]
-        schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in names] + ["n_words bigint, hits array<bigint>, items array<bigint>"])
-        out = map_batches(spark, out, _search_rows(spark.sparkContext.broadcast(sets), i == 0), schema)
+        schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in names] + ["n_words bigint, hits array<bigint>, items array<bigint>"])
+        shared = spark.sparkContext.broadcast(sets)
+        out, before = map_batches(spark, out, _search_rows(shared, before is None), schema), shared
     return out
 
 
