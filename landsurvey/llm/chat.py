@@ -6,9 +6,9 @@ inside roles and texts are escaped with a backslash, reversibly. Conversations
 that begin with the same turns meet in one pack, in which every shared turn
 stands once. A pack is a prefix tree laid out depth first: each segment has its
 interval in the packed text, the position id of its first character on its own
-path, the intervals of its ancestors (what it may attend to besides itself) and
-whether it bears loss. Units are code points; a tokenizer's units follow from
-the intervals.
+path, the intervals of its ancestors (what it may attend to besides itself; those
+that touch are one, so a long conversation has few) and whether it bears loss.
+Units are code points; a tokenizer's units follow from the intervals.
 
 A prefix that more than PACK conversations share is hot. A conversation goes to
 its deepest hot prefix, and there into one of as many packs as the prefix needs,
@@ -17,14 +17,16 @@ conversations fills many packs of bounded size, each holding that turn once.
 
 Defined results: null role or text is empty; turns go by turn number (null
 first), then role and text; a null conv_id is a conversation of its own; repeated
-rows are turns; extra columns are ignored; empty input gives no packs. One
-conversation is one training sequence and stays whole.
+rows are turns; extra columns of any name are ignored; empty input gives no packs.
+One conversation is one training sequence and stays whole, however many turns it
+has; its packed text has to fit in a string, as any value does.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -97,7 +99,8 @@ def layout(conversations: list[tuple[int | None, list[tuple[str, str]]]]) -> tup
         segments.append((start, size, position, above, start + loss_start, start + loss_end))
         owners += [(c, len(segments) - 1) for c in sorted(node.ends, key=lambda c: (c is not None, c or 0))]
         parts.append(text)
-        below = (*above, (start, size))
+        # a first child stands right behind its parent, so the two are one interval
+        below = (*above[:-1], (above[-1][0], size)) if above and above[-1][1] == start else (*above, (start, size))
         stack += [(node.children[t], position + len(text), below) for t in sorted(node.children, reverse=True)]
     return "".join(parts), segments, owners
 
@@ -115,6 +118,26 @@ def _pack_group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     })
 
 
+def _with_prefixes(spark: SparkSession, turns: DataFrame) -> DataFrame:
+    """turns plus the names of the prefixes, each a digest of the one before and the
+    next turn."""
+
+    def run(batches):
+        for batch in batches:
+            names = []
+            for conversation in batch.column("turns"):
+                name, own = b"", []
+                for t in conversation:
+                    role, text = t["role"].as_py().encode(), t["text"].as_py().encode()
+                    name = hashlib.md5(name + len(role).to_bytes(8) + role + text, usedforsecurity=False).hexdigest().encode()
+                    own.append(name.decode())
+                names.append(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.list_(pa.string()))], names=[*batch.schema.names, "prefixes"])
+
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in turns.schema.fields)
+    return map_batches(spark, turns, run, f"{shape}, prefixes array<string>")
+
+
 def pack_conversations(spark: SparkSession, rows: DataFrame, pack: int = PACK) -> DataFrame:
     """One row per pack (PACK_SCHEMA) for rows of conv_id, turn, role, text."""
     clean = rows.select(
@@ -122,10 +145,7 @@ def pack_conversations(spark: SparkSession, rows: DataFrame, pack: int = PACK) -
         F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"),
     )
     turns = clean.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    # names of the prefixes, each a digest of the one before and the next turn
-    step = lambda acc, t: F.concat(acc, F.array(F.md5(F.concat(F.element_at(acc, -1), F.md5(t["role"].cast("binary")), t["text"]).cast("binary"))))
-    prefixes = F.slice(F.aggregate("turns", F.array(F.lit("")), step), 2, F.size("turns"))
-    held = materialise(spark, turns.withColumn("prefixes", prefixes).withColumn("row_id", F.monotonically_increasing_id()), "chat-turns")
+    held = materialise(spark, _with_prefixes(spark, turns).withColumn("row_id", F.monotonically_increasing_id()), "chat-turns")
     total = held.count()
     nodes = held.select("row_id", F.posexplode("prefixes").alias("depth", "prefix"))
     hot = materialise(spark, nodes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > pack), "chat-hot")
@@ -152,13 +172,14 @@ def read_back(spark: SparkSession, packs: DataFrame) -> DataFrame:
             out = {k: [] for k in ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
             for i in range(batch.num_rows):
                 text, segments = batch.column("text")[i].as_py(), batch.column("segments")[i].as_py()
-                loss = {(s["start"], s["end"]): (s["loss_start"], s["loss_end"]) for s in segments}
+                starts = [s["start"] for s in segments]
                 for c in batch.column("conversations")[i].as_py():
                     own = segments[c["segment"]]
                     path = [*[(a["start"], a["end"]) for a in own["ancestors"]], (own["start"], own["end"])]
                     formatted = "".join(text[a:b] for a, b in path)
                     turns = parse(formatted)
-                    learnt = unescape("".join(text[slice(*loss[p])] for p in path))
+                    on_path = [s for a, b in path for s in segments[bisect_left(starts, a) : bisect_left(starts, b)]]
+                    learnt = unescape("".join(text[s["loss_start"] : s["loss_end"]] for s in on_path))
                     out["conv_id"].append(c["conv_id"])
                     out["n_turns"].append(len(turns))
                     out["turns_sha256"].append(hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest())

@@ -55,6 +55,18 @@ def test_hot_prefix_fills_bounded_packs(spark):
             assert all(a.end <= s.start for a in s.ancestors)
 
 
+def test_long_conversations_have_few_intervals():
+    turns = [("user" if i % 2 == 0 else "assistant", f"turn {i}") for i in range(3000)]
+    text, segments, owners = chat.layout([(1, turns), (2, turns[:2000] + [("user", "another way")]), (3, turns[:10])])
+    assert max(len(s[3]) for s in segments) <= 2
+    assert sorted(c for c, _ in owners) == [1, 2, 3]
+    for c, k in owners:
+        start, end, position, above, *_ = segments[k]
+        path = "".join(text[a:b] for a, b in [*above, (start, end)])
+        assert position == sum(b - a for a, b in above)
+        assert chat.parse(path) == {1: turns, 2: turns[:2000] + [("user", "another way")], 3: turns[:10]}[c]
+
+
 @given(st.lists(st.tuples(st.text("<s>/[INT] \\\nab", max_size=12), st.text("<s>/[INST] \\\nab", max_size=20)), max_size=4))
 @settings(max_examples=300, deadline=None)
 def test_template_round_trip(turns):
