@@ -20,9 +20,12 @@ BROADCAST_ROWS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, set here only where unset."""
+    """The folder all executors share: spark.checkpoint.dir, set here only where unset
+    and the driver is the only machine."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="landsurvey-shared-")
         spark.sparkContext.setCheckpointDir(known)
     return known.rstrip("/")
@@ -95,6 +98,18 @@ def plain_columns(df: DataFrame, **named: Column) -> DataFrame:
     return df.select(*[c.alias(k) for k, c in named.items()])
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def with_row_ids(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """The rows of docs as a struct ``doc``, whatever its columns are called, with a
+    ``row_id``; written to the shared folder, so that ids stay as they are."""
+    whole = F.struct(*[column(c).alias(c) for c in docs.columns])
+    return materialise(spark, docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row_id")), name)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,12 +7,14 @@ gives the languages. A text's answer is the mean log-probability of all its
 windows. For prediction the filters are tables by byte pair, which gives the
 same responses with fewer operations.
 
-Training sees at most SAMPLE texts of each language and WINDOWS_A_TEXT windows
+Training sees at most about SAMPLE texts of each language and WINDOWS_A_TEXT windows
 of each. Nothing but the text enters a prediction.
 
 Defined results: null text and text without a letter give ``und`` with score 0;
-without any labelled text everything does. Repeated rows get equal answers and
-extra columns are ignored.
+without any labelled text everything does. Repeated rows get equal answers, of
+languages that score alike the first by name wins, texts of any length are read
+whole in blocks of windows, extra columns of any name are ignored by ``report`` and
+carried by ``predict``, and no rows give no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_batches, plain_columns, utf8_slices
+from .common import column, crc_mod, map_batches, plain_columns, utf8_slices
 from .training import Adam, bounded_sample, softmax
 from .words import FOLD
 
@@ -175,8 +177,8 @@ def predict(spark: SparkSession, docs: DataFrame, net: ByteNet | None) -> DataFr
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(labels.tolist(), pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 
     kept = [f for f in docs.schema.fields if f.name not in ("text", "_able", "lang_pred", "score")]
-    docs = docs.select(*[f.name for f in kept], "text", "_able")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string, score double"])
+    docs = docs.select(*[column(f.name) for f in kept], "text", "_able")
+    schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string, score double"])
     return map_batches(spark, docs, run, schema)
 
 

@@ -7,21 +7,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Groups that a sample tells apart at most: they are collected, with their counts.
+MOST_GROUPS = 1000
+
+
 def bounded_sample(df: DataFrame, group: Column, doc_id: Column, most: int) -> DataFrame:
-    """About most rows of each group, by a hash of the id; all rows of a smaller one.
+    """About most rows of each group, by a hash of the id and the row's place; all rows
+    of a smaller one. Rows that share an id, or have none, are drawn one by one.
 
-    The hash is the same every time, and the kept share follows from each
-    group's count, so the sample has a bound and needs no sort. Groups are the
-    classes of a label, at most a few hundred.
+    The kept share follows from each group's count, so the sample has a bound and
+    needs no sort. Groups are the classes of a label; of more than MOST_GROUPS the
+    largest are taken.
     """
     tagged = df.withColumn("_group", group.cast("string"))
-    counts = tagged.groupBy("_group").count().collect()
-    share = {r["_group"]: min(1.0, most / r["count"]) for r in counts if r["_group"] is not None}
-    if not share:
+    counts = tagged.groupBy("_group").count().filter("_group IS NOT NULL").orderBy(F.desc("count"), "_group").limit(MOST_GROUPS).collect()
+    if not counts:
         return tagged.filter(F.lit(False))
-    limits = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v)])
-    spot = F.pmod(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    return tagged.filter(spot < F.try_element_at(limits, F.col("_group")))
+    limits = F.create_map(*[F.lit(x) for r in counts for x in (r["_group"], min(1.0, most / r["count"]))])
+    place = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.monotonically_increasing_id(), F.lit(7))
+    return tagged.withColumn("_spot", F.pmod(place, F.lit(1 << 30)) / float(1 << 30)).filter(F.col("_spot") < F.try_element_at(limits, F.col("_group"))).drop("_spot")
 
 
 class Adam:

@@ -1,7 +1,9 @@
 """Held-out accuracy and defined results of the trained models."""
 
 import numpy as np
-from landsurvey.llm import language_id, queries, toxicity
+import pytest
+from landsurvey.llm import language_id, queries, toxicity, training
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.1"
 
@@ -76,3 +78,105 @@ def test_tables_are_the_convolution():
     z = np.maximum(np.concatenate(out, axis=1) + net.bias, 0) @ net.out + net.out_bias
     want = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
     assert np.abs(net.log_probs(windows) - want).max() < 5e-3
+
+
+def plain_responses(net, words, stems):
+    """Largest response of each filter of the toxicity network, one place at a time."""
+    e = net.words[words] + net.stems[stems]
+    e = np.concatenate([e, np.zeros((3, toxicity.DIM), np.float32)])
+    out = []
+    for k, f in zip(toxicity.WIDTHS, net.filters, strict=True):
+        at = [np.concatenate(e[i : i + k]) @ f for i in range(len(words))]
+        out.append(np.max([*at, np.zeros(toxicity.FILTERS)], axis=0))  # a text may also be quiet
+    return np.concatenate(out)
+
+
+def test_toxicity_network_is_the_plain_one(monkeypatch):
+    rng = np.random.default_rng(6)
+    net = toxicity.WordNet(["x", "y"])
+    net.bias[:] = rng.normal(0, 0.1, net.bias.shape)
+    sizes = [0, 1, 2, 50, 7]
+    rows = np.concatenate([[0], np.cumsum(sizes)])
+    words, stems = rng.integers(1, 1 << 16, rows[-1]), rng.integers(1, 1 << 14, rows[-1])
+    want = np.stack([np.maximum(plain_responses(net, words[a:b], stems[a:b]) + net.bias, 0) for a, b in zip(rows, rows[1:])])
+    assert np.allclose(net.pooled(words, stems, rows), want, atol=1e-5)
+    for block in (4, 13):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", block)
+        assert np.allclose(net.pooled(words, stems, rows), want, atol=1e-5)
+
+
+class Recorder(training.Adam):
+    """Keeps the gradients instead of taking steps."""
+
+    def __init__(self, params, rate):
+        super().__init__(params, rate)
+        Recorder.seen = [np.zeros_like(p) for p in params]
+
+    def step(self, i, grad, rows=slice(None)):
+        Recorder.seen[i][rows] += grad
+
+
+def slope(loss, array, at, size=1e-3):
+    """Change of the loss by one entry of an array."""
+    old = array[at]
+    out = []
+    for sign in (1, -1):
+        array[at] = old + sign * size
+        out.append(loss())
+    array[at] = old
+    return (out[0] - out[1]) / (2 * size)
+
+
+def test_toxicity_gradients(monkeypatch):
+    monkeypatch.setattr(toxicity, "Adam", Recorder)
+    monkeypatch.setattr(toxicity, "HIDDEN", 0.0)
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    rng = np.random.default_rng(8)
+    texts = [(rng.integers(1, 40, n), rng.integers(1, 30, n)) for n in rng.integers(4, 9, toxicity.BATCH)]
+    toxic = np.arange(len(texts)) % 2
+    net = toxicity.WordNet([])
+    params = [net.words, net.stems, *net.filters, net.bias, net.out, net.out_bias]
+    for p in params[:2]:
+        p *= 10
+    net.train(texts, toxic, np.full(len(texts), -1))
+    rows = np.concatenate([[0], np.cumsum([len(t[0]) for t in texts])])
+    flat = [np.concatenate([t[k] for t in texts]) for k in (0, 1)]
+
+    def loss():
+        z = net.logits(flat[0], flat[1], rows)[0].astype(float)
+        return np.mean(np.log1p(np.exp(-np.where(toxic, z, -z))))
+
+    for i, p in enumerate(params):
+        for flat_at in np.argsort(-np.abs(Recorder.seen[i]).ravel())[:4]:
+            at = np.unravel_index(flat_at, p.shape)
+            assert Recorder.seen[i][at] == pytest.approx(slope(loss, p, at), rel=0.08, abs=2e-4)
+
+
+def test_language_gradients(monkeypatch):
+    monkeypatch.setattr(language_id, "Adam", Recorder)
+    rng = np.random.default_rng(9)
+    windows, labels = rng.integers(97, 110, (40, language_id.WINDOW)).astype(np.uint8), np.arange(40) % 2
+    net = language_id.ByteNet(["a", "b"])
+    net.out *= 5
+    params = [net.embed, *net.filters, net.bias, net.out, net.out_bias]
+    net.train(windows, labels, epochs=1)
+
+    def loss():
+        e, pooled = net.embed[windows], []
+        for k, f in zip(language_id.WIDTHS, net.filters, strict=True):
+            patch = np.concatenate([e[:, j : language_id.WINDOW - k + 1 + j] for j in range(k)], axis=2)
+            pooled.append((patch @ f).max(axis=1))
+        z = (np.maximum(np.concatenate(pooled, axis=1) + net.bias, 0) @ net.out + net.out_bias).astype(float)
+        return np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), labels])
+
+    for i, p in enumerate(params):
+        for flat_at in np.argsort(-np.abs(Recorder.seen[i]).ravel())[:4]:
+            at = np.unravel_index(flat_at, p.shape)
+            assert Recorder.seen[i][at] == pytest.approx(slope(loss, p, at), rel=0.08, abs=2e-4)
+
+
+def test_samples_are_drawn_by_row(spark):
+    rows = spark.range(20_000).select(F.lit(23).cast("bigint").alias("doc_id"), (F.col("id") % 10 == 0).alias("toxic"))
+    for ids in (F.col("doc_id"), F.lit(None)):
+        found = {r["toxic"]: r["count"] for r in training.bounded_sample(rows, F.col("toxic"), ids, 1500).groupBy("toxic").count().collect()}
+        assert all(1300 < n < 1700 for n in found.values()) and len(found) == 2
