@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import brute
@@ -60,6 +61,66 @@ def test_field_finds_what_looks_like_a_secret(spark):
     assert not any(rows[i] for i in range(300) if i % 3)
 
 
+def test_gradients_of_the_field(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(secrets, "SIZES", (5, 4))
+    monkeypatch.setattr(secrets, "SHOWN", 1.1)
+    steps = []
+
+    class Still:
+        def __init__(self, params, rate):
+            pass
+
+        def tick(self):
+            pass
+
+        def step(self, i, grad):
+            steps.append(grad.copy())
+
+    monkeypatch.setattr(secrets, "Adam", Still)
+    field = secrets.Field()
+    for w in (*field.weights, field.moves):
+        w += rng.normal(0, 1, w.shape).astype(np.float32)
+    ids = np.stack([rng.integers(0, 5, (3, 4)), rng.integers(0, 4, (3, 4))])
+    tags = np.array([[0, 1, 2, 0], [1, 2, -1, -1], [0, 0, 1, -1]])
+    field.train(ids, tags, steps=1)
+
+    def loss():
+        total = 0.0
+        for k, tag in enumerate(tags):
+            n = int((tag >= 0).sum())
+            e = sum(w[i[k, :n]] for w, i in zip(field.weights, ids, strict=True)).astype(float)
+            score = lambda path: sum(e[t, y] for t, y in enumerate(path)) + sum(field.moves[a, b] for a, b in zip(path, path[1:]))
+            total += np.log(sum(np.exp(score(p)) for p in itertools.product(range(3), repeat=n))) - score(tag[:n])
+        return total / (tags >= 0).sum()
+
+    for grad, array, weight in zip(steps, (*field.weights, field.moves), (1e-6, 1e-6, 1e-4), strict=True):
+        for at in np.ndindex(array.shape):
+            old, out = array[at], []
+            for sign in (1, -1):
+                array[at] = old + sign * 1e-2
+                out.append(loss())
+            array[at] = old
+            assert abs(grad[at] - weight * old - (out[0] - out[1]) / 2e-2) < 2e-3
+
+
+def test_what_the_field_adds_on_kinds_that_no_pattern_knows(spark):
+    """Trained on assignments of hexadecimal codes, read on other codes in other words."""
+    rng = np.random.default_rng(7)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    small, mixed = "0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = "the quick brown fox jumps over a lazy dog while it rains in spain on 12 may 2021 at gate B7 with iso9001 and mp3 files".split()
+    prose = lambda: " ".join(rng.choice(words, 60))
+    known = [(i, f'{prose()} {rng.choice(["token", "secret", "password"])} = "{draw(small, 32 + i % 9)}" {prose()}' if i % 2 else prose()) for i in range(600)]
+    other = [(1000 + i, f'{prose()} {rng.choice(["token", "secret"])} {rng.choice(["is", "->"])} "{draw(mixed, 36)}" {prose()}') for i in range(100)]
+    plain = [(2000 + i, prose()) for i in range(200)]
+    schema = "doc_id bigint, text string"
+    field = secrets.train(spark, spark.createDataFrame(known, schema))
+    rows = {r.doc_id: [x.kind for x in r.found] for r in secrets.scan(spark, spark.createDataFrame(other + plain, schema), field).collect()}
+    assert np.mean(["crf" in rows[i] for i, _ in other]) > 0.9
+    assert np.mean([bool(rows[i]) for i, _ in plain]) < 0.02
+
+
 def test_decoding_is_the_best_path():
     rng = np.random.default_rng(1)
     field = secrets.Field()
