@@ -57,5 +57,20 @@ def test_odd_rows(spark, odd, nothing):
 def test_repeated_rows_share(spark):
     docs = spark.createDataFrame([(1, "a b c d", "x")] * 10 + [(2, "a b", "y")] * 5, "doc_id bigint, text string, source string")
     rows = mixing.mix(spark, docs, weights=(1, 1), share=0.5).collect()
-    assert len({(r.doc_id, r.taken) for r in rows}) == 2
-    assert abs(sum(r.taken for r in rows) - 25) <= 15
+    assert abs(sum(r.taken for r in rows) - 25) <= 1
+    for s in "xy":
+        own = [r for r in rows if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+        assert sum(0 < r.taken < r.size for r in own) <= 1
+
+
+def test_rows_without_ids_meet_the_target(spark):
+    rows = [(None, "word" if i % 2 else f"two w{i % 7}", "x") for i in range(1000)] + [(i, "some more words", "y") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    every = [mixing.mix(spark, docs, weights=(2, 1), share=0.6).collect() for _ in range(2)]
+    for rows in every:
+        for s in "xy":
+            own = [r for r in rows if r.source == s]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+            assert sum(0 < r.taken < r.size for r in own) <= 1
+    assert sorted((r.size, r.taken) for r in every[0]) == sorted((r.size, r.taken) for r in every[1])
