@@ -314,14 +314,16 @@ def _text_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with row ids, bucketed by them in the shared folder, so that no later join
     moves the texts again."""
     rows = plain_columns(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"))
-    buckets = max(8, min(20_000, rows.count() // ROWS_A_BUCKET + 1))
+    buckets = max(8, rows.count() // ROWS_A_BUCKET + 1)
     name = f"substring_texts_{uuid.uuid4().hex}"
     (
         rows.withColumn("uid", F.monotonically_increasing_id())
         .repartition(buckets, "uid")
         .write.bucketBy(buckets, "uid").sortBy("uid").option("path", fresh_path(spark, "substring-texts")).saveAsTable(name)
     )
-    return spark.table(name)
+    texts = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name goes, the files and what reads them stay
+    return texts
 
 
 def covered(spark: SparkSession, texts: DataFrame) -> DataFrame:

@@ -18,9 +18,11 @@ ODD = [
 @pytest.fixture
 def odd(spark):
     """The odd rows with columns whose names operators use inside."""
-    rows = [(d, t, "l", None if i % 3 else "s", i, 1, "h", 2, 3) for i, (d, t) in enumerate(ODD)]
+    rows = [(d, t, "l", None if i % 3 else "s", i, 1, "h", 2, 3, f"r{i // 4}", i, "v") for i, (d, t) in enumerate(ODD)]
     return spark.createDataFrame(
-        rows, "doc_id bigint, text string, lang string, source string, n int, fp int, hits string, size int, digest int"
+        rows,
+        "doc_id bigint, text string, lang string, source string, n int, fp int, hits string, size int, digest int, "
+        "row_id string, `x.y` int, doc string",
     )
 
 

@@ -43,3 +43,27 @@ def test_index_persists(spark):
     op.DigestIndex(spark, small).add(spark.createDataFrame([(bytearray(b"x"), 1)], "digest binary, keep_id bigint"))
     again = op.DigestIndex(spark, small, 7)
     assert again.buckets == 5 and again.rows().count() == 1
+
+
+def test_rows_without_ids_stay_once(spark):
+    place = fresh_path(spark, "index-test")
+    rows = spark.createDataFrame([(None, "same"), (None, "same"), (4, "other")], "doc_id bigint, text string")
+    kept = lambda: sorted((r.text_sha256 for r in op.exact_duplicates(spark, rows, place).collect() if r.kept))
+    assert kept() == sorted([brute.sha("same"), brute.sha("other")])
+    assert kept() == [brute.sha("other")]
+
+
+def test_index_is_compacted(spark, monkeypatch):
+    monkeypatch.setattr(op, "MOST_APPENDS", 2)
+    monkeypatch.setattr(op, "ROWS_A_BUCKET", 5)
+    monkeypatch.setattr(op, "LEAST_BUCKETS", 2)
+    place, sizes, tables = fresh_path(spark, "index-test"), [], {t.name for t in spark.catalog.listTables()}
+    for k in range(6):
+        batch = spark.createDataFrame([(i, f"text {i}") for i in range(10 * k, 10 * k + 12)], "doc_id bigint, text string")
+        rows = {r.doc_id: r.kept for r in op.exact_duplicates(spark, batch, place).collect()}
+        assert rows == dict.fromkeys(range(10 * k, 10 * k + 12), True)
+        index = op.DigestIndex(spark, place)
+        assert index.rows().count() == 10 * k + 12
+        sizes.append(index.buckets)
+        index.close()
+    assert sizes[-1] > sizes[0] and {t.name for t in spark.catalog.listTables()} == tables
