@@ -11,16 +11,12 @@ from ..functions.scalar import first_true, height_tag, levels, seed, tag
 
 def zonal(pixels: DataFrame) -> DataFrame:
     """idx, p25, p50, p90 of ndsm, npx, d15 and dmin of dtm, for zones with ground."""
-    share = lambda c, p: F.percentile(c, F.lit(p))
-    return (
-        pixels.groupBy("idx")
-        .agg(
-            share("ndsm", 0.25).alias("p25"), share("ndsm", 0.5).alias("p50"), share("ndsm", 0.9).alias("p90"),
-            F.count("ndsm").cast("int").alias("npx"), share("dtm", 0.15).alias("d15"), F.min("dtm").alias("dmin"), F.count("dtm").alias("ground"),
-        )
-        .filter("ground > 0")
-        .drop("ground")
+    shares = F.percentile("ndsm", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.9)))  # one map of the values for all three
+    found = pixels.groupBy("idx").agg(
+        shares.alias("p"), F.count("ndsm").cast("int").alias("npx"), F.percentile("dtm", F.lit(0.15)).alias("d15"),
+        F.min("dtm").alias("dmin"), F.count("dtm").alias("ground"),
     )
+    return found.filter("ground > 0").select("idx", *[F.col("p")[k].alias(c) for k, c in enumerate(("p25", "p50", "p90"))], "npx", "d15", "dmin")
 
 
 def evidence(footprints: DataFrame, stats: DataFrame) -> DataFrame:

@@ -86,32 +86,32 @@ def class_bands(cells: DataFrame, keys: list[str], fx: int, fy: int) -> DataFram
 
 
 def bilinear(points: DataFrame, key: list[str], cells: DataFrame, shape: DataFrame) -> DataFrame:
-    """points (key, fx, fy in cell units) with z: null outside the raster and where a
-    neighbour is null (T17). shape: one row of w and h. Every point asks for its four
-    cells by an equi-join, and one aggregation per point weighs them."""
-    placed = (
-        points.join(F.broadcast(shape))
-        .filter("fx BETWEEN 0 AND w - 1 AND fy BETWEEN 0 AND h - 1")
-        .withColumn("x0", F.least(F.floor("fx"), F.col("w") - 2))
-        .withColumn("y0", F.least(F.floor("fy"), F.col("h") - 2))
-        .withColumn("tx", F.col("fx") - F.col("x0"))
-        .withColumn("ty", F.col("fy") - F.col("y0"))
-    )
-    corners = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for j in (0, 1) for i in (0, 1)]))
-    asked = placed.select(*key, "tx", "ty", "x0", "y0", corners.alias("o")).select(
-        *key, "tx", "ty", "o.i", "o.j", (F.col("x0") + F.col("o.i")).alias("col"), (F.col("y0") + F.col("o.j")).alias("row")
-    )
-    got = asked.join(cells.filter("z IS NOT NULL").select("row", "col", "z"), ["row", "col"])
-    at = lambda i, j: F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("z")))
-    tx, ty = F.first("tx"), F.first("ty")
+    """points (fx, fy in cell units, and columns that name a point) with z: null outside
+    the raster and where a neighbour is null (T17). shape: one row of w and h. Every point
+    asks for its four cells by an equi-join, and one aggregation per point weighs them; its
+    other columns come along as part of its name, so nothing is joined back."""
+    rest = [c for c in points.columns if c not in ("fx", "fy")]
+    inside = F.coalesce(F.expr("fx BETWEEN 0 AND w - 1 AND fy BETWEEN 0 AND h - 1"), F.lit(False))
+    placed = points.join(F.broadcast(shape)).withColumn("x0", F.least(F.floor("fx"), F.col("w") - 2)).withColumn("y0", F.least(F.floor("fy"), F.col("h") - 2))
+    corner = lambda i, j: F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.col("x0") + i).alias("col"), (F.col("y0") + j).alias("row"))
+    # points outside ask for a cell that is nowhere, spread over many such rows
+    nowhere = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).cast("bigint").alias("col"), (-1 - F.pmod(F.xxhash64(*key), F.lit(1 << 20))).alias("row"))
+    asked = placed.select(
+        *rest, (F.col("fx") - F.col("x0")).alias("tx"), (F.col("fy") - F.col("y0")).alias("ty"),
+        F.explode(F.when(inside, F.array(*[corner(i, j) for j in (0, 1) for i in (0, 1)])).otherwise(F.array(nowhere))).alias("o"),
+    ).select(*rest, "tx", "ty", "o.*")
+    got = asked.join(cells.filter("z IS NOT NULL").select("row", "col", F.col("z").alias("height")), ["row", "col"], "left")
+    at = lambda i, j: F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("height")))
+    tx, ty = F.col("tx"), F.col("ty")
     value = (at(0, 0) * (1 - tx) + at(1, 0) * tx) * (1 - ty) + (at(0, 1) * (1 - tx) + at(1, 1) * tx) * ty
-    return got.groupBy(*key).agg(F.when(F.count("z") == 4, value).alias("z"))
+    return got.groupBy(*rest, "tx", "ty").agg(F.when(F.count("height") == 4, value).alias("z")).drop("tx", "ty")
 
 
 def nearest_fill(values: np.ndarray, bad: np.ndarray) -> str:
     """Fill bad cells in place from the nearest good one (Euclid, in cells; of equals
     the least row, then column). Exact: per column the nearest good rows, then per row
     the lower envelope over columns by direct comparison in blocks."""
+    # fixed values: the names of the ways to fill
     if not bad.any():
         return "none"
     if bad.all():

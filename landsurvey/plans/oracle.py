@@ -90,15 +90,16 @@ dn AS (
     UNION ALL SELECT id, q, k, ae + (be - ae) * (k * 8.0::DOUBLE / d), an + (bn - an) * (k * 8.0::DOUBLE / d) FROM cut WHERE k * 8.0::DOUBLE / d < 1))"""
 TILE_OF = f"""CASE WHEN floor((e - {E}) / 512) BETWEEN 0 AND 2 AND floor((n - {N}) / 512) BETWEEN 0 AND 1
   THEN {{{{'x': floor((e - {E}) / 512)::INT, 'y': floor((n - {N}) / 512)::INT}}}} END""".replace("{{", "{").replace("}}", "}")
-DRAPED = f"""{CELLS}, {DENSE}, vt AS (
-  SELECT *, {TILE_OF} AS tile, (e - {E}) / 16 AS fx, (SELECT max(h) FROM cells) - 1 - (n - {N}) / 16 AS fy, (SELECT max(h) FROM cells) AS h FROM dn),
+DRAPED = f"""{CELLS}, {DENSE}, hh AS MATERIALIZED (SELECT max(o_orderkey) // 125 + 1 AS h FROM orders),
+vt AS (SELECT dn.*, {TILE_OF} AS tile, (e - {E}) / 16 AS fx, h - 1 - (n - {N}) / 16 AS fy, h FROM dn, hh),
 va AS (
   SELECT *, least(floor(fx), 123)::INT AS x0, least(floor(fy), h - 2)::INT AS y0, fx - least(floor(fx), 123) AS tx, fy - least(floor(fy), h - 2) AS ty
   FROM vt WHERE tile IS NOT NULL AND fx BETWEEN 0 AND 124 AND fy BETWEEN 0 AND h - 1),
-vz AS (
-  SELECT va.id, va.q, (a.z * (1 - tx) + b.z * tx) * (1 - ty) + (c.z * (1 - tx) + d.z * tx) * ty AS z FROM va
-  JOIN cells a ON a.col = x0 AND a.row = y0 AND a.z IS NOT NULL JOIN cells b ON b.col = x0 + 1 AND b.row = y0 AND b.z IS NOT NULL
-  JOIN cells c ON c.col = x0 AND c.row = y0 + 1 AND c.z IS NOT NULL JOIN cells d ON d.col = x0 + 1 AND d.row = y0 + 1 AND d.z IS NOT NULL),
+vq AS (SELECT id, q, tx, ty, k, x0 + k % 2 AS col, y0 + k // 2 AS row FROM va, (SELECT unnest([0, 1, 2, 3]) AS k)),
+vk AS (
+  SELECT id, q, tx, ty, max(z) FILTER (k = 0) AS a, max(z) FILTER (k = 1) AS b, max(z) FILTER (k = 2) AS c, max(z) FILTER (k = 3) AS d
+  FROM vq JOIN cells USING (row, col) GROUP BY ALL HAVING count(z) = 4),
+vz AS (SELECT id, q, (a * (1 - tx) + b * tx) * (1 - ty) + (c * (1 - tx) + d * tx) * ty AS z FROM vk),
 dr AS (SELECT vt.id, vt.q, vt.e, vt.n, vt.tile, vz.z FROM vt LEFT JOIN vz USING (id, q)),
 gf AS (
   SELECT *, CASE WHEN tile IS NOT NULL THEN coalesce(z, last_value(z IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -123,7 +124,7 @@ cl0 AS (SELECT *, {RAMP} AS rock, coalesce((z < -0.1::DOUBLE) OR (abs(z) < 0.3::
 cl AS (SELECT *, (coalesce(z < 2, false) OR (row + col) % 11 = 0) AND NOT water AS sand FROM cl0)"""
 BANDS = f"""{CLASSED}, bl AS (
   SELECT tile_x, tile_y, (r // 2)::BIGINT AS br, (c // 2)::BIGINT AS bc, avg(sand::INT) AS s, avg(water::INT) AS w, avg(rock) AS k0
-  FROM cl WHERE tile_x < 3 AND tile_y < 2 GROUP BY ALL),
+  FROM cl GROUP BY ALL),
 bk AS (SELECT *, least(greatest(k0 * (1 - s - w), 0), 1) AS k FROM bl),
 bg AS (SELECT *, least(greatest(1 - s - k - w, 0), 1) AS g FROM bk),
 bands AS (SELECT tile_x, tile_y, br, bc, floor(g * 255)::INT AS grass, floor(s * 255)::INT AS sand, floor(k * 255)::INT AS rock, floor(w * 255)::INT AS water FROM bg)"""
@@ -245,12 +246,18 @@ _BODY: dict[str, tuple[str, str]] = {
     "calmest_neighbour": (CLASSED, micro_rows("cl", "row, col", "dz")),
     "water_class": (CLASSED, "SELECT row, col, water, sand FROM cl"),
     "area_accounting": (CLASSED, f"SELECT {q6('count(*) FILTER (WHERE water) * 0.0256::DOUBLE')} AS water_ha, {q6('count(*) FILTER (WHERE sand) * 0.0256::DOUBLE')} AS sand_ha FROM cl"),
-    "block_downsample": (CELLS, f"SELECT tile_x, tile_y, (r // 2)::BIGINT AS br, (c // 2)::BIGINT AS bc, {q6('avg(z)')} AS z FROM cells WHERE tile_x < 3 AND tile_y < 2 GROUP BY ALL"),
+    "block_downsample": (CELLS, f"SELECT tile_x, tile_y, (r // 2)::BIGINT AS br, (c // 2)::BIGINT AS bc, {q6('avg(z)')} AS z FROM cells GROUP BY ALL"),
     "class_compose": (BANDS, "SELECT * FROM bands"),
     "alphamap": (BANDS, "SELECT tile_x, tile_y, 15 - br AS br, bc, least(grass + least(greatest(255 - (grass + sand + rock), 0), 255), 255) AS grass, sand, rock, water FROM bands"),
-    "water_tiles": (CELLS, "SELECT x AS tile_x, y AS tile_y FROM (SELECT unnest([0, 1, 2]) AS x), (SELECT unnest([0, 1]) AS y) LEFT JOIN (SELECT tile_x, tile_y, min(z) AS low, avg((z IS NOT NULL)::INT) AS share FROM cells GROUP BY ALL) t ON tile_x = x AND tile_y = y WHERE share IS NULL OR share < 0.01 OR low < 0.75"),
+    "water_tiles": (CELLS, "SELECT x::INT AS tile_x, y::INT AS tile_y FROM (SELECT unnest(range(max(tile_x) + 1)) AS x FROM cells), (SELECT unnest(range(max(tile_y) + 1)) AS y FROM cells) LEFT JOIN (SELECT tile_x, tile_y, min(z) AS low, avg((z IS NOT NULL)::INT) AS share FROM cells GROUP BY ALL) t ON tile_x = x AND tile_y = y WHERE share IS NULL OR share < 0.01 OR low < 0.75"),
     "missing_tiles_anti": (CELLS, "SELECT x AS tile_x, y AS tile_y FROM (SELECT unnest([0, 1, 2]) AS x), (SELECT unnest([0, 1, 2, 3, 4]) AS y) WHERE (x, y) NOT IN (SELECT (tile_x, tile_y) FROM cells GROUP BY tile_x, tile_y HAVING avg((z IS NOT NULL)::INT) >= 0.01)"),
     "fill_median": (CELLS, f"SELECT tile_x, tile_y, r, c, {q6('coalesce(z, m, 0)')} AS z, CASE WHEN have = 0 THEN 'all-nodata -> 0' WHEN have < total THEN 'median (degraded)' ELSE 'none' END AS fill FROM (SELECT *, median(z) OVER p AS m, count(z) OVER p AS have, count(*) OVER p AS total FROM cells WINDOW p AS (PARTITION BY tile_x, tile_y))"),
+    "fill_nearest": (
+        f"""{CELLS}, nf AS (
+  SELECT b.tile_x, b.tile_y, b.r, b.c, arg_min(g.z, ((g.r - b.r) * (g.r - b.r) + (g.c - b.c) * (g.c - b.c)) * 4096 + g.r * 64 + g.c) AS near
+  FROM cells b JOIN cells g USING (tile_x, tile_y) WHERE b.z IS NULL AND g.z IS NOT NULL GROUP BY ALL)""",
+        f"SELECT tile_x, tile_y, r, c, {q6('coalesce(z, near, 0)')} AS z, CASE WHEN have = 0 THEN 'all-nodata -> 0' WHEN have < total THEN 'nearest' ELSE 'none' END AS fill FROM (SELECT *, count(z) OVER p AS have, count(*) OVER p AS total FROM cells WINDOW p AS (PARTITION BY tile_x, tile_y)) LEFT JOIN nf USING (tile_x, tile_y, r, c)",
+    ),
     "tile_stats": (CELLS, f"SELECT tile_x, tile_y, count(*) FILTER (WHERE z IS NULL) AS nodata_cells, count(*) FILTER (WHERE slope > 45) AS over_45, {q6('min(zz)')} AS min_m, {q6('max(zz)')} AS max_m, {q6('max(slope)')} AS slope_max, {q6('quantile_cont(slope, 0.99)')} AS slope_p99 FROM (SELECT *, {slope('zz', 'tile_x, tile_y, ')} AS slope FROM (SELECT *, coalesce(z, 5) AS zz FROM cells)) GROUP BY ALL"),
     "height_encode": (CELLS, "SELECT 31 - r AS r, c, tile_x, tile_y, round_even(least(greatest((z - base) / (top - base), 0), 1) * 65535, 0)::INT AS code FROM cells, (SELECT floor(min(z) - 5) AS base, ceil(max(z) + 5) AS top FROM cells) WHERE z IS NOT NULL"),
     "mosaic_dedupe": (CELLS, f"SELECT row, col, {q6('coalesce(z, CASE WHEN c = 0 AND tile_x > 0 THEN dsm END)')} AS z FROM cells"),

@@ -165,13 +165,12 @@ def area_accounting(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def block_downsample(spark: SparkSession, sf: str) -> DataFrame:
-    mean = v.grid_cells(spark, sf).groupBy("tile_x", "tile_y", F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(F.avg("z").alias("z"))
+    mean = v.cells(spark, sf).groupBy("tile_x", "tile_y", F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(F.avg("z").alias("z"))
     return micros(mean, ["tile_x", "tile_y", "br", "bc"], "z")
 
 
 def _bands(spark: SparkSession, sf: str) -> DataFrame:
-    inside = _classed(spark, sf).filter((F.col("tile_x") < NX) & (F.col("tile_y") < NY))
-    return raster.class_bands(inside, ["tile_x", "tile_y"], 2, 2)
+    return raster.class_bands(_classed(spark, sf), ["tile_x", "tile_y"], 2, 2)
 
 
 @query
@@ -186,7 +185,7 @@ def alphamap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def water_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    return tiles.water_tiles(v.grid_cells(spark, sf), tiles.grid(spark, NX, NY), SITE.water_level, SITE.water_margin, True)
+    return tiles.water_tiles(v.cells(spark, sf), v.every_tile(spark, sf), SITE.water_level, SITE.water_margin, True)
 
 
 @query
@@ -341,9 +340,9 @@ def _draped(spark: SparkSession, sf: str) -> DataFrame:
     ways = _ways(spark, sf).withColumn("pts", geometry.densify(F.col("pts"), TUNING.densify_step))
     points = roads.vertices(ways, *GRID)
     shape = v.shape(spark, sf)
-    top = points.join(F.broadcast(shape.select("h"))).withColumn("fx", (F.col("e") - E0) / PX).withColumn("fy", F.col("h") - 1 - (F.col("n") - N0) / PX)
-    z = raster.bilinear(top.filter("tile IS NOT NULL").select("id", "q", "fx", "fy"), ["id", "q"], v.cells(spark, sf), shape)
-    return points.join(z, ["id", "q"], "left")
+    across = F.when(F.col("tile").isNotNull(), (F.col("e") - E0) / PX)
+    top = points.join(F.broadcast(shape.select("h"))).withColumn("fx", across).withColumn("fy", F.col("h") - 1 - (F.col("n") - N0) / PX).drop("h")
+    return raster.bilinear(top, ["id", "q"], v.cells(spark, sf), shape)
 
 
 @query

@@ -52,8 +52,9 @@ class Build:
     def ground_at(self, points: DataFrame, key: list[str]) -> DataFrame:
         """points (key, e, n) with z."""
         e0 = self.inputs.dtm.agg(F.min("e").alias("west"), F.max("n").alias("north"))
-        at = points.join(F.broadcast(e0)).select(*key, ((F.col("e") - F.col("west")) / self.inputs.px).alias("fx"), ((F.col("north") - F.col("n")) / self.inputs.px).alias("fy"))
-        return points.join(raster.bilinear(at, key, self.inputs.dtm, self.shape), key, "left")
+        across, down = (F.col("e") - F.col("west")) / self.inputs.px, (F.col("north") - F.col("n")) / self.inputs.px
+        at = points.join(F.broadcast(e0)).select(*points.columns, across.alias("fx"), down.alias("fy"))
+        return raster.bilinear(at, key, self.inputs.dtm, self.shape)
 
     def terrain(self) -> DataFrame:
         filled = raster.fill_tiles(self.spark, self.cells.filter(self.inside))

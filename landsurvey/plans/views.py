@@ -47,8 +47,11 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def grid_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return cells(spark, sf).filter((F.col("tile_x") < NX) & (F.col("tile_y") < NY))
+def every_tile(spark: SparkSession, sf: str) -> DataFrame:
+    """All tiles of the grid that the raster spans: tile_x, tile_y."""
+    far = cells(spark, sf).agg(F.max("tile_x").alias("x"), F.max("tile_y").alias("y"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c)))
+    return far.select("y", upto("x").alias("tile_x")).select("tile_x", upto("y").alias("tile_y"))
 
 
 def pixels(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,27 +18,19 @@ def points(df, expr):
     return [[(p.e, p.n) for p in r.p] for r in df.select("id", expr.alias("p")).orderBy("id").collect()]
 
 
-def plain_densify(pts, step):
-    out = [pts[0]]
-    for a, b in zip(pts, pts[1:]):
-        d = math.dist(a, b)
-        k = 1
-        while d > step and k <= d // step and k * step / d < 1:
-            t = k * step / d
-            out.append((a[0] + (b[0] - a[0]) * t, a[1] + (b[1] - a[1]) * t))
-            k += 1
-        out.append(b)
-    return out
-
-
 def test_densify_and_chaikin(spark):
     rng = random.Random(1)
     ways = [[(rng.uniform(0, 90), rng.uniform(0, 90)) for _ in range(n)] for n in (1, 2, 3, 7)] + [[(0, 0), (16, 0)], [(0, 0), (0, 0), (8, 0)]]
     df = line(spark, *ways)
     for got, way in zip(points(df, geometry.densify(F.col("pts"), 8.0)), ways, strict=True):
-        want = plain_densify([tuple(map(float, p)) for p in way], 8.0)
-        assert len(got) == len(want) and all(math.dist(a, b) < 1e-9 for a, b in zip(got, want, strict=True))
-        assert all(math.dist(a, b) <= 8 + 1e-9 for a, b in zip(got, got[1:]))
+        at = [i for i, p in enumerate(got) if p in {(float(e), float(n)) for e, n in way}]
+        assert [got[i] for i in at] == [(float(e), float(n)) for e, n in way]  # every vertex stays, in order
+        for (i, j), a, b in zip(zip(at, at[1:]), way, way[1:]):
+            # what is added lies on the piece, step by step from its start, and the rest is shorter
+            steps = [math.dist(a, p) for p in got[i : j + 1]]
+            assert j - i == max(1, math.ceil(math.dist(a, b) / 8.0 - 1e-9))
+            assert all(abs(d - 8.0 * k) < 1e-9 for k, d in enumerate(steps[:-1]))
+            assert all(abs(math.dist(a, p) + math.dist(p, b) - math.dist(a, b)) < 1e-9 for p in got[i : j + 1])
     for times in (1, 2):
         for got, way in zip(points(df, geometry.chaikin(F.col("pts"), times)), ways, strict=True):
             assert len(got) == (len(way) * 2**times if len(way) > 2 else len(way))
@@ -81,31 +73,26 @@ def test_python_rounding(spark):
     assert got == [None if x is None else round(x, 2) for x in values]
 
 
-def split_loop(verts):
-    """Runs of one way: (tile, [place]) by walking its vertices (tile or None)."""
-    runs, cur, run = [], None, []
-    for q, tile in enumerate(verts):
-        if tile is None:
-            runs, cur, run = [*runs, (cur, run)], None, []
-            continue
-        cur = cur or tile
-        if tile != cur:
-            runs.append((cur, [*run, q]))
-            cur, run = tile, [q]
-        run.append(q)
-    runs.append((cur, run))
-    return [(t, r) for t, r in runs if t and len(r) >= 2]
-
-
-def test_split_is_the_walk(spark):
+def test_runs_cover_their_tiles(spark):
     rng = random.Random(5)
     ways = [[rng.choice([None, (0, 0), (0, 0), (1, 0)]) for _ in range(rng.randrange(1, 12))] for _ in range(60)]
     rows = [(str(i), q, float(q), 0.0, t, 1.0 if rng.random() < 0.7 else None) for i, w in enumerate(ways) for q, t in enumerate(w)]
     df = spark.createDataFrame(rows, "id string, q int, e double, n double, tile struct<tile_x:int,tile_y:int>, z double")
-    got = {}
+    got = {str(i): [] for i in range(len(ways))}
     for r in roads.split_by_tile(roads.fill_gaps(df)).orderBy("id", "rid").collect():
-        got.setdefault(r.id, []).append((tuple(r.tile), [v.q for v in r.vertices]))
-    assert got == {str(i): s for i, w in enumerate(ways) if (s := split_loop(w))}
+        got[r.id].append((tuple(r.tile), [v.q for v in r.vertices]))
+    for i, way in enumerate(ways):
+        # places where a way goes on from one tile into another, or into and out of the grid
+        seams = {q for q in range(1, len(way)) if way[q] and way[q - 1] and way[q] != way[q - 1]}
+        starts = [q for q in range(len(way)) if way[q] and (q == 0 or way[q] != way[q - 1])]
+        stops = [next((k for k in range(q, len(way)) if way[k] != way[q]), len(way)) for q in starts]
+        want = []
+        for a, b in zip(starts, stops, strict=True):
+            # a run holds its tile's places, its first twice where it began at a seam, and
+            # the place at which the next tile begins
+            run = [a] * (a in seams) + list(range(a, b)) + [b] * (b in seams)
+            want += [(way[a], run)] if len(run) >= 2 else []
+        assert got[str(i)] == want
 
 
 def test_gap_fill(spark):
