@@ -6,17 +6,23 @@ order of their dependencies for runs of a part.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Site, Tuning
+from ..config import Site, Tuning, tile_pixels
 from ..functions import geometry, scalar
 from ..operators import furniture, massing, polygons, raster, roads, tiles
-from ..sources import records
+from ..sources import files, records, tiff
+from . import manifests
 
 STEPS = ("terrain", "networks", "massing", "ground", "furniture")
+MANIFESTS = {
+    "terrain": "terrain_manifest.json", "networks": "networks_manifest.json", "massing": "massing_manifest.json", "ground": "coast_manifest.json",
+    "furniture": "furniture_manifest.json",
+}
 
 
 @dataclass
@@ -132,18 +138,93 @@ class Build:
         return placed.join(here.select("id", "prop", "name", "tile.tile_x", "tile.tile_y"), "id")
 
     def products(self, only: str | None = None) -> dict[str, DataFrame]:
-        if only is not None and only not in STEPS:
-            raise ValueError(f"no step {only!r}; there are {', '.join(STEPS)}")
-        return {s: getattr(self, s)() for s in STEPS if only in (None, s)}
-
-    def write(self, path: str, only: str | None = None) -> None:
-        """Products by tile and a manifest of each, old ones replaced."""
+        return {s: getattr(self, s)() for s in self.steps(only)}
+
+    @staticmethod
+    def steps(only: str | None = None, start: str | None = None) -> list[str]:
+        """The names of the steps to run, in order: one, or all from start on."""
+        for name in (only, start):
+            if name is not None and name not in STEPS:
+                raise ValueError(f"no step {name!r}; there are {', '.join(STEPS)}")
+        return [only] if only else list(STEPS[STEPS.index(start) if start else 0 :])
+
+    def preflight(self) -> list[str]:
+        """What is missing or would make every product empty, before any work."""
+        found = []
+        for name, needed in {"lines": "osm_id highway pts", "areas": "idx osm_id building polys", "points": "id e n", "dtm": "row col e n z", "dsm": "row col e n z"}.items():
+            df = getattr(self.inputs, name)
+            found += [f"{name} has no column {c}" for c in needed.split() if c not in df.columns]
+            found += [f"{name} is empty"] if df.isEmpty() else []
+        tile_pixels(self.site, (0.0, self.inputs.px, 0.0, 0.0, 0.0, -self.inputs.px), self.tuning.class_res)
+        return found
+
+    def write(self, path: str, only: str | None = None, start: str | None = None) -> dict[str, dict]:
+        """Products by tile, their rasters, manifests and a log of times and warnings, old
+        ones replaced. Returns the log by step."""
         order = {"terrain": ["min_m"], "networks": ["cls"], "massing": ["id"], "ground": ["br", "bc"], "furniture": ["id"]}
+        log: dict[str, dict] = {}
         networks = None
-        for name in [s for s in STEPS if s in self.products(only)]:
+        for name in self.steps(only, start):
+            began = time.perf_counter()
             df = self.furniture(networks) if name == "furniture" else getattr(self, name)()
-            records.write_tiles(df, f"{path}/{name}", order[name])
+            records.write_tiles(df, f"{path}/{name}", order[name], 2)
             back = self.spark.read.schema(df.schema).json(f"{path}/{name}")
             networks = back if name == "networks" else networks  # furniture reads what was written
             facts = {"rows": F.count(F.lit(1)), "tiles": F.count_distinct("tile_x", "tile_y"), "site": F.lit(self.site.name), "crs": F.lit(self.site.crs), "tile_m": F.lit(self.site.tile)}
             back.agg(records.manifest(**facts)).coalesce(1).write.mode("overwrite").text(f"{path}/{name}_manifest")
+            said = getattr(self, f"_finish_{name}")(path, back)
+            files.put(self.spark, f"{path}/{MANIFESTS[name]}", manifests.written(said))
+            log[name] = {"seconds": round(time.perf_counter() - began, 2), "warnings": manifests.warnings(name, said, len(self.site.landmarks))}
+        files.put(self.spark, f"{path}/run_log.json", manifests.written(log))
+        return log
+
+    def _finish_terrain(self, path: str, back: DataFrame) -> dict:
+        cells = raster.fill_tiles(self.spark, self.cells.filter(self.inside))
+        e0, n0 = self.site.origin
+        t, px = self.site.tile, self.inputs.px
+        corner = lambda x, y: (e0 + x * t - px / 2, px, 0.0, n0 + (y + 1) * t - px / 2, 0.0, -px)
+        images = tiff.tile_images(self.spark, cells, ["z"], "float32", corner)
+        files.put_all(self.spark, _named(images, "dtm_x%d_y%d.tif"), f"{path}/terrain_tif")
+        fills = cells.groupBy("tile_x", "tile_y").agg(F.max("fill").alias("fill"))
+        missing = tiles.missing(tiles.grid(self.spark, self.site.nx, self.site.ny), back)
+        return manifests.terrain(self.site, back.join(fills, ["tile_x", "tile_y"]), missing, self.side, self.side)
+
+    def _finish_networks(self, path: str, back: DataFrame) -> dict:
+        ways = self.ways()
+        points = self.ground_at(roads.vertices(roads.smooth(ways, self.tuning), *self.grid), ["id", "q"])
+        return manifests.networks(self.site, self.tuning, back, points, ways.agg(F.sum(geometry.length(F.col("pts")))))
+
+    def _finish_massing(self, path: str, back: DataFrame) -> dict:
+        rows = self.heights()
+        box = geometry.envelope(F.flatten(F.flatten("polys")))
+        rows = rows.withColumn("b", box).withColumn("tile", scalar.tile_of((F.col("b.e0") + F.col("b.e1")) / 2, (F.col("b.n0") + F.col("b.n1")) / 2, *self.grid))
+        odd = records.rounded(self.spark, massing.outliers(rows.filter("tile IS NOT NULL"), self.tuning))
+        odd.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/qa_height_outliers")
+        flagged = self.spark.read.schema(odd.schema).json(f"{path}/qa_height_outliers").count()
+        line = massing.calibrate(rows, self.tuning, self.site.calibration)
+        return manifests.massing(self.site, rows, line, flagged)
+
+    def _finish_ground(self, path: str, back: DataFrame) -> dict:
+        e0, n0 = self.site.origin
+        t, cell = self.site.tile, self.site.tile / self.tuning.class_res
+        shaped = back.select("tile_x", "tile_y", F.col("br").cast("int").alias("r"), F.col("bc").cast("int").alias("c"), "grass", "sand", "rock", "water")
+        images = tiff.tile_images(self.spark, shaped, ["grass", "sand", "rock", "water"], "uint8", lambda x, y: (e0 + x * t, cell, 0.0, n0 + (y + 1) * t, 0.0, -cell))
+        files.put_all(self.spark, _named(images, "ground_x%d_y%d.tif"), f"{path}/ground_tif")
+        every, inside = tiles.grid(self.spark, self.site.nx, self.site.ny), self.cells.filter(self.inside)
+        water = tiles.water_tiles(inside, every, self.site.water_level, self.site.water_margin, self.site.missing_tiles_are_water)
+        coast = self.inputs.lines.filter(scalar.tag("other_tags", "natural") == "coastline").select(F.col("osm_id").alias("line"), F.posexplode("pts").alias("q", "p"))
+        pieces = furniture.segments(coast.select("line", "q", "p.e", "p.n", F.lit(0.0).alias("z")))
+        inside_m = geometry.clipped_length(*[F.col(c) for c in ("ae", "an", "be", "bn")], e0, n0, e0 + self.site.nx * t, n0 + self.site.ny * t)
+        metres = pieces.agg(F.sum(inside_m)).first()[0] or 0.0
+        return manifests.ground(self.site, self.tuning, water, tiles.missing(every, tiles.covered(inside)), metres)
+
+    def _finish_furniture(self, path: str, back: DataFrame) -> dict:
+        points = self.inputs.points
+        kind = scalar.first_true("amenity", scalar.tag("other_tags", "amenity")) if "amenity" in points.columns else scalar.tag("other_tags", "amenity")
+        kinds = manifests.counts(points.select(kind.alias("amenity")).filter("amenity IS NOT NULL"), "amenity", 12)
+        nodes = furniture.select_nodes(points, self.tuning.prop_rows(self.spark)).withColumn("tile", scalar.tile_of("e", "n", *self.grid))
+        return manifests.furniture(self.site, self.tuning, back, nodes, kinds)
+
+
+def _named(images: DataFrame, pattern: str) -> DataFrame:
+    return images.select(F.format_string(pattern, "tile_x", "tile_y").alias("name"), F.col("image").alias("content"))

@@ -3,8 +3,8 @@ import json
 import numpy as np
 import pytest
 from landsurvey.config import Calibration, Site, Tuning
-from landsurvey.plans.site import Build, Inputs
-from landsurvey.sources import images
+from landsurvey.plans.site import STEPS, Build, Inputs
+from landsurvey.sources import images, records, tiff
 
 E0, N0, T, PX = 500000.0, 150000.0, 512.0, 8.0
 
@@ -96,3 +96,47 @@ def test_images(spark):
     (row,) = images.tile_blobs(spark, df, ["v"], "raw").collect()
     assert np.frombuffer(row.image, "<u2").tolist() == [0, 1, 2, 1000, 1001, 1002]
     assert images.png(np.zeros((2, 3, 3)))[:8] == b"\x89PNG\r\n\x1a\n" and len(images.png(np.arange(6).reshape(2, 3))) > 50
+
+
+def test_files_and_manifests(build, spark, tmp_path):
+    log = build.write(str(tmp_path))
+    read = lambda name: json.loads((tmp_path / name).read_text())
+    terrain = read("terrain_manifest.json")
+    assert [(t["x"], t["y"], t["nodata_cells"], t["fill"]) for t in terrain["tiles"]] == [(0, 0, 0, "none"), (1, 0, 25, "nearest")]
+    assert terrain["tiles_missing"] == [] and terrain["range_m"][0] == -1.0 and terrain["slope_qa"]["max_deg"] > 45
+    values, transform, _ = tiff.read((tmp_path / "terrain_tif/dtm_x1_y0.tif").read_bytes())
+    assert values.shape == (64, 64, 1) and values.dtype == np.float32 and transform[0] == E0 + T - PX / 2 and transform[1] == PX
+    assert values[-1, 0, 0] == -1.0 and abs(values[40, 8, 0] - (5 + 0.02 * (T + 8 * PX))) < 1e-4
+    bands, transform, _ = tiff.read((tmp_path / "ground_tif/ground_x0_y0.tif").read_bytes())
+    assert bands.shape == (16, 16, 4) and bands.dtype == np.uint8 and (bands[-1, :, 3] == 255).all() and transform[:2] == (E0, T / 16)
+    networks = read("networks_manifest.json")
+    assert networks["junctions"] == 1 and networks["segments"] == 7 and networks["vertices_without_dtm"] > 0 and networks["vertices_outside_grid"] > 0
+    assert networks["length_km"] == 1.18 and networks["widths_m"]["residential"] == [6.0, 1.5]
+    massing = read("massing_manifest.json")
+    assert massing["buildings"] == 2 and massing["outside_grid"] == 1 and massing["by_height_source"] == {"lidar_lowconf": 1, "lidar_p50": 1} and massing["qa_flagged"] == 1
+    assert [json.loads(x)["osm_id"] for f in (tmp_path / "qa_height_outliers").glob("*.json") for x in f.read_text().splitlines()] == ["b2"]
+    coast = read("coast_manifest.json")
+    assert coast["water_tiles"] == [[0, 0], [1, 0]] and coast["tiles_without_dtm"] == [] and coast["bands"] == ["grass", "sand", "rock", "water"]
+    furniture = read("furniture_manifest.json")
+    assert furniture["placed"] == 2 and furniture["outside_grid"] == 1 and furniture["amenity_kinds_seen"] == {"waste_basket": 3, "bench": 1} and furniture["nudged_out_of_carriageway"] == 1
+    assert "1 landmarks match no building" in log["massing"]["warnings"][0] and "no ground" in log["networks"]["warnings"][0]
+    assert read("run_log.json").keys() == log.keys()
+    # records have two decimals
+    lines = [json.loads(x) for f in (tmp_path / "networks").rglob("*.json") for x in f.read_text().splitlines()]
+    assert all(v == round(v, 2) for r in lines for p in r["pts"] for v in p)
+
+
+def test_runner(build):
+    assert build.steps() == list(STEPS) and build.steps(start="ground") == ["ground", "furniture"] and build.steps("massing") == ["massing"]
+    assert build.preflight() == []
+    with pytest.raises(ValueError, match="no step"):
+        build.steps(start="roof")
+
+
+def test_rounding_is_pythons(spark):
+    rows = [(2.675, [[1.005, None], None], (0.125, "a")), (None, None, None), (-0.0, [], (1e9 + 0.005, None))]
+    df = spark.createDataFrame(rows, "x double, y array<array<double>>, z struct<a:double,b:string>")
+    got = [tuple(r) for r in records.rounded(spark, df).collect()]
+    assert [r[0] for r in got] == [round(2.675, 2), None, 0.0]
+    assert got[0][1] == [[round(1.005, 2), None], None] and got[1][1] is None and got[2][1] == []
+    assert [r[2] and tuple(r[2]) for r in got] == [(round(0.125, 2), "a"), None, (round(1e9 + 0.005, 2), None)]
