@@ -166,3 +166,112 @@ def read_package(spark: SparkSession, path: str, layer: str, columns: list[str],
     ship(spark)
     starts = spark.range(low or 0, (high or 0) + 1, part_rows)
     return starts.mapInArrow(scan, ", ".join([f"`{c}` string" for c in columns] + [f"polys array<array<{POINTS}>>"]))
+
+
+#: Keys whose closed ways are areas, and the columns that layers have of their own.
+AREA_KEYS = ("building", "natural", "landuse", "leisure", "amenity", "place", "aeroway", "military", "historic", "tourism", "shop", "office", "man_made")
+OWN_COLUMNS = {"points": ("name",), "lines": ("name", "highway"), "multipolygons": ("name", "building", "natural")}
+
+
+def osm_relations(spark: SparkSession, path: str) -> DataFrame:
+    """osm_id, members (type, ref, role) in order, and tags of all relations."""
+    schema = "_id bigint, member array<struct<_type:string,_ref:bigint,_role:string>>, tag array<struct<_k:string,_v:string>>"
+    rows = spark.read.format("xml").option("rowTag", "relation").schema(schema).load(path)
+    members = F.transform("member", lambda m: F.struct(m["_type"].alias("type"), m["_ref"].alias("ref"), m["_role"].alias("role")))
+    return rows.select(F.col("_id").alias("osm_id"), members.alias("members"), _tags().alias("tags"))
+
+
+def closed_rings(chains: list[list[tuple]]) -> list[list[tuple]]:
+    """Rings of chains of points, joined where their ends are the same point, either way
+    round; what does not close is left out."""
+    out, open_ = [], []
+    for c in chains:
+        (out if len(c) > 3 and c[0] == c[-1] else open_).append(list(c))
+    while open_:
+        ring = open_.pop(0)
+        while ring[0] != ring[-1]:
+            k = next((k for k, c in enumerate(open_) if ring[-1] in (c[0], c[-1])), None)
+            if k is None:
+                break
+            more = open_.pop(k)
+            ring += (more if more[0] == ring[-1] else more[::-1])[1:]
+        if len(ring) > 3 and ring[0] == ring[-1]:
+            out.append(ring)
+    return out
+
+
+def _inside(point: tuple, ring: list[tuple]) -> bool:
+    x, y = point
+    return sum((a[1] <= y) != (b[1] <= y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in zip(ring, ring[1:])) % 2 == 1
+
+
+def _area(ring: list[tuple]) -> float:
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))) / 2
+
+
+def polygons_of(outer: list[list[tuple]], inner: list[list[tuple]]) -> list[list[list[tuple]]]:
+    """Polygons, an outer ring and its holes each; a hole goes to the least ring around it."""
+    rings = closed_rings(outer)
+    out = [[r] for r in rings]
+    for hole in closed_rings(inner):
+        around = [k for k, r in enumerate(rings) if _inside(hole[0], r)]
+        if around:
+            out[min(around, key=lambda k: _area(rings[k]))].append(hole)
+    return out
+
+
+def multipolygons(spark: SparkSession, relations: DataFrame, lines: DataFrame) -> DataFrame:
+    """osm_id, tags and polys of the relations that are areas, from their ways (osm_id, pts).
+
+    One relation is put together in one task; members that are not there are left out."""
+    areas = relations.filter(F.col("tags")["type"].isin("multipolygon", "boundary"))
+    parts = areas.select("osm_id", F.posexplode("members").alias("q", "m")).filter("m.type = 'way'").select("osm_id", "q", F.col("m.ref").alias("way"), F.coalesce("m.role", F.lit("")).alias("role"))
+    met = parts.join(lines.select(F.col("osm_id").alias("way"), "pts"), "way")
+    held = met.groupBy("osm_id").agg(F.array_sort(F.collect_list(F.struct("q", "role", "pts"))).alias("parts"))
+    kind = pa.list_(pa.list_(pa.list_(pa.struct([("e", pa.float64()), ("n", pa.float64())]))))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            polys = []
+            for parts in batch.column("parts").to_pylist():
+                chains: tuple[list, list] = ([], [])
+                for p in parts:
+                    chains[p["role"] == "inner"].append([(x["e"], x["n"]) for x in p["pts"]])
+                polys.append([[[{"e": e, "n": n} for e, n in ring] for ring in poly] for poly in polygons_of(*chains)])
+            yield pa.RecordBatch.from_arrays([batch.column("osm_id"), pa.array(polys, kind)], names=["osm_id", "polys"])
+
+    ship(spark)
+    shaped = held.mapInArrow(build, f"osm_id bigint, polys array<array<{POINTS}>>").filter(F.size("polys") > 0)
+    return areas.select("osm_id", "tags").join(shaped, "osm_id")
+
+
+def hstore(tags, without: tuple[str, ...] = ()):
+    """Tags as text, by key: "k"=>"v","k"=>"v"; null if there are none."""
+    quote = lambda x: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(x, r"\\", r"\\\\"), '"', r'\\"'), F.lit('"'))
+    rest = F.array_sort(F.map_entries(F.map_filter(col(tags), lambda k, v: ~k.isin(*without) if without else F.lit(True))))
+    return F.nullif(F.array_join(F.transform(rest, lambda t: F.concat(quote(t["key"]), F.lit("=>"), quote(t["value"]))), ","), F.lit(""))
+
+
+def osm_layers(spark: SparkSession, path: str, project) -> dict[str, DataFrame]:
+    """points, lines and areas of an OSM XML extract as a site's inputs need them.
+
+    project(lat, lon) gives easting and northing. Nodes with tags are points. Closed ways
+    with an area's key, and relations, are areas; all other ways with tags are lines."""
+    e, n = project(F.col("lat"), F.col("lon"))
+    nodes = osm_nodes(spark, path).withColumn("e", e).withColumn("n", n)
+    ways = osm_ways(spark, path)
+    lines = way_lines(ways, nodes)
+    closed = (F.size("pts") > 3) & (F.element_at("pts", 1) == F.element_at("pts", -1))
+    keyed = F.arrays_overlap(F.map_keys("tags"), F.array(*[F.lit(k) for k in AREA_KEYS])) & (F.coalesce(F.col("tags")["natural"], F.lit("")) != "coastline")
+    is_area = closed & keyed
+    own = lambda layer: [F.col("tags")[c].alias(c) for c in OWN_COLUMNS[layer]]
+    text = lambda layer, *more: hstore("tags", (*OWN_COLUMNS[layer], *more)).alias("other_tags")
+    points = nodes.filter(F.size("tags") > 0).select(F.col("osm_id").cast("string").alias("id"), *own("points"), text("points"), "e", "n")
+    drawn = lines.filter(~is_area & (F.size("tags") > 0)).select(F.col("osm_id").cast("string").alias("osm_id"), *own("lines"), text("lines"), "pts")
+    flat = lines.filter(is_area).select(F.concat(F.lit("w"), "osm_id").alias("osm_id"), "tags", F.array(F.array("pts")).alias("polys"))
+    joined = multipolygons(spark, osm_relations(spark, path), lines).select(F.concat(F.lit("r"), "osm_id").alias("osm_id"), "tags", "polys")
+    areas = flat.unionByName(joined).select(
+        F.pmod(F.xxhash64("osm_id"), F.lit(1 << 62)).alias("idx"), "osm_id", *own("multipolygons"), F.col("tags")["building:levels"].alias("levels_tag"),
+        text("multipolygons", "type"), "polys",
+    )
+    return {"points": points, "lines": drawn, "areas": areas}

@@ -98,3 +98,40 @@ def test_records_and_manifest(spark, tmp_path):
     assert json.loads(text) == {"rows": 3, "nothing": None}
     (row,) = records.provenance(spark, str(file)).collect()
     assert row.sha256 == hashlib.sha256(file.read_bytes()).hexdigest() and row.bytes == file.stat().st_size
+
+
+EXTRACT = """<osm>
+<node id="1" lat="0" lon="0"/><node id="2" lat="0" lon="10"/><node id="3" lat="10" lon="10"/><node id="4" lat="10" lon="0"/>
+<node id="5" lat="3" lon="3"/><node id="6" lat="3" lon="5"/><node id="7" lat="5" lon="5"/><node id="8" lat="50" lon="50"><tag k="amenity" v="bench"/><tag k="note" v="a &quot;b&quot; \\ c"/></node>
+<way id="10"><nd ref="1"/><nd ref="2"/><nd ref="3"/></way>
+<way id="11"><nd ref="1"/><nd ref="4"/><nd ref="3"/></way>
+<way id="12"><nd ref="5"/><nd ref="6"/><nd ref="7"/><nd ref="5"/></way>
+<way id="13"><nd ref="5"/><nd ref="6"/><nd ref="7"/><nd ref="5"/><tag k="building" v="shed"/><tag k="building:levels" v="2"/></way>
+<way id="14"><nd ref="1"/><nd ref="7"/><tag k="highway" v="path"/><tag k="name" v="Way"/><tag k="lanes" v="2"/></way>
+<way id="15"><nd ref="5"/><nd ref="6"/><nd ref="7"/><nd ref="5"/><tag k="highway" v="service"/></way>
+<relation id="20"><member type="way" ref="10" role="outer"/><member type="node" ref="8" role="label"/><member type="way" ref="12" role="inner"/><member type="way" ref="11" role="outer"/>
+<member type="way" ref="99" role="outer"/><tag k="type" v="multipolygon"/><tag k="building" v="house"/></relation>
+<relation id="21"><member type="way" ref="10" role="outer"/><tag k="type" v="multipolygon"/><tag k="building" v="open"/></relation>
+</osm>"""
+
+
+def test_osm_layers(spark, tmp_path):
+    (tmp_path / "x.osm").write_text(EXTRACT)
+    layers = vector.osm_layers(spark, str(tmp_path / "x.osm"), lambda lat, lon: (lon * 1.0, lat * 1.0))
+    areas = {r.osm_id: r for r in layers["areas"].collect()}
+    assert set(areas) == {"w13", "r20"}  # a ring that does not close is no area
+    outer, hole = areas["r20"].polys[0]
+    assert len(areas["r20"].polys) == 1 and {tuple(p) for p in outer} == {(0, 0), (10, 0), (10, 10), (0, 10)} and outer[0] == outer[-1] and len(outer) == 5
+    assert {tuple(p) for p in hole} == {(3, 3), (5, 3), (5, 5)}
+    assert (areas["w13"].building, areas["w13"].levels_tag, areas["w13"].other_tags) == ("shed", "2", '"building:levels"=>"2"') and areas["r20"].other_tags is None
+    assert areas["w13"].idx != areas["r20"].idx
+    lines = {r.osm_id: r for r in layers["lines"].collect()}
+    assert set(lines) == {"14", "15"} and (lines["14"].highway, lines["14"].name, lines["14"].other_tags) == ("path", "Way", '"lanes"=>"2"')
+    (node,) = layers["points"].collect()
+    assert (node.id, node.e, node.n) == ("8", 50.0, 50.0) and node.other_tags == '"amenity"=>"bench","note"=>"a \\"b\\" \\\\ c"'
+
+
+def test_holes_go_to_the_least_ring_around_them():
+    box = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+    polys = vector.polygons_of([box(0, 0, 100), box(20, 20, 10)], [box(22, 22, 2), box(60, 60, 5), box(500, 0, 1)])
+    assert [len(p) for p in polys] == [2, 2] and polys[1][1] == box(22, 22, 2) and polys[0][1] == box(60, 60, 5)
