@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, fresh_path, join_counted, materialise, plain_columns, with_row_ids
 
 LEAST_BUCKETS, ROWS_A_BUCKET, MOST_APPENDS = 48, 4_000_000, 16
+ROW_BYTES = 40  # of the index, about
 
 
 class DigestIndex:
@@ -38,6 +39,7 @@ class DigestIndex:
         self.spark, self.location, self.table = spark, location, None
         self.generation, self.buckets = self._newest() or (0, buckets or max(LEAST_BUCKETS, rows // ROWS_A_BUCKET))
         self._files.mkdirs(self._path(self._home()))  # names the number of buckets
+        self._files.mkdirs(self._path(self._appends()))
 
     def _path(self, name: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
@@ -83,11 +85,16 @@ class DigestIndex:
             .join(known.hint("merge"), "digest", "left_anti")
         )
         fresh.write.insertInto(self.table)
+        self._files.mkdirs(self._path(f"{self._appends()}/{uuid.uuid4().hex}"))
+
+    def _appends(self) -> str:
+        """The folder that holds one mark for each append to this generation."""
+        return f"{self.location}/appends_{self.generation:06d}"
 
     def compact(self, buckets: int | None = None) -> None:
         """Write the index anew, one sorted file a bucket; the old generation goes when
         the new one is whole, so a run that ends midway changes nothing."""
-        old, rows = self._home(), self.rows()
+        old, rows = [self._home(), self._appends()], self.rows()
         n = buckets or max(LEAST_BUCKETS, rows.count() // ROWS_A_BUCKET)
         building, name = f"{self.location}/building_{uuid.uuid4().hex}", f"digest_index_{uuid.uuid4().hex}"
         rows.repartition(n, "digest").write.bucketBy(n, "digest").sortBy("digest").option("path", building).saveAsTable(name)
@@ -95,12 +102,15 @@ class DigestIndex:
         self.close()
         self.generation, self.buckets = self.generation + 1, n
         self._files.rename(self._path(building), self._path(self._home()))
-        self._files.delete(self._path(old), True)
+        self._files.mkdirs(self._path(self._appends()))
+        for folder in old:
+            self._files.delete(self._path(folder), True)
 
     def tidy(self) -> None:
-        """Compact the index where it has too many files, or buckets too large."""
-        files = self._files.getContentSummary(self._path(self._home())).getFileCount()
-        if files > MOST_APPENDS * self.buckets or self.rows().count() > 2 * ROWS_A_BUCKET * self.buckets:
+        """Compact the index after many appends, or where buckets are too large."""
+        appends = self._files.getContentSummary(self._path(self._appends())).getDirectoryCount() - 1
+        size = self._files.getContentSummary(self._path(self._home())).getLength()
+        if appends > MOST_APPENDS or size > 2 * ROW_BYTES * ROWS_A_BUCKET * self.buckets:
             self.compact()
 
     def decide(self, docs: DataFrame, row_id: Column | None = None) -> DataFrame:
