@@ -1,19 +1,26 @@
-"""Near copies by the exact Jaccard similarity of shingle sets.
+"""Near copies of five-word sets: fingerprints propose, exact Jaccard decides.
 
 Sets: lower-case A-Z, words [^\\x20\\x09-\\x0D]+, the distinct XXH64 hashes of the
 shingles of ``width`` words (a shorter text is one shingle). Two documents are
 linked where 5 times their common shingles are at least 4 times those of both
 together: similarity 0.8. Groups are the components of the links.
 
-Proposals lose no link: with all shingles in one order, sets of such similarity
-share one of the first n - ceil(0.8 n) + 1 of each (prefix filter). Any order is
-right; rare shingles come first, by counts in a sample, so that few pairs meet.
-Lengths and positions rule out more pairs, and what is left is compared whole.
-Equal sets are one vertex. A crowd first links to hubs, a few members that many
-of it meet, and only documents that this leaves apart meet pair by pair.
-
-Texts without words have the same, empty set and so are one group; null text is
-empty; null ids never stay unless a group has no other id.
+Proposals come from SimHash fingerprints and from prefixes. Multi-index hashing over
+fingerprints of 64 bits proposes pairs within max_bits. Fingerprints alone cannot
+reach all links (near 0.8 they lie about 9 bits apart), so the rest is completed by a
+prefix filter: with all shingles in one order, sets of such similarity share one of
+the first n - ceil(0.8 n) + 1 of each. Any order is right; rare shingles come first,
+by counts in a sample, so that few documents meet. Lengths, positions and the complete
+distance of two fingerprints rule out most that do: of 128 bits a pair of similarity
+0.8 differs in 19 on average, and in over FAR with a probability under 1e-9; sets of
+under SMALL shingles, too small for that, skip this test. What is left is compared
+whole. A shingle shared by a crowd first pairs its members with hubs, a few members
+of it, and only members of different groups then meet pair by pair.
+
+Defined results: texts without words (null too) have the same, empty set and so
+are one group; equal sets are one vertex; of equal ids one row stays; null ids
+never stay unless a group has no other id; texts of any length are taken whole;
+extra columns of any name are carried; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -24,29 +31,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, map_batches, materialise
-from .simhash import SEED, _blocks, components
+from .common import map_batches, materialise, mix64, with_row_ids
+from .simhash import common_bits, components, hub_links, shingle_digests
 
 #: The sample that orders shingles, and how many it names; they change the cost, not the result.
 SAMPLE_TEXTS, MOST_COMMON = 20_000, 500_000
-#: Hubs that a document is compared with in a round, and rounds at most.
-HUBS, ROUNDS = 3, 4
+#: Hubs that a document is compared with.
+HUBS = 3
+#: A shingle that at most so many share pairs them all; more are a crowd.
+CROWD = 8
+#: Bits of 128 beyond which two sets are not compared, and sizes that this is not asked of.
+FAR, SMALL = 48, 32
+#: Document ids, 8 bytes each, that are broadcast at most; more are joined.
+BROADCAST_IDS = 500_000
+
+
+def distinct(digests) -> np.ndarray:
+    """The distinct shingle hashes of blocks of digests, ascending."""
+    return np.unique(np.frombuffer(b"".join(digests), ">i8").astype(np.int64))
 
 
 def shingles(text: bytes, width: int = 5) -> np.ndarray:
     """The distinct shingle hashes of one UTF-8 text, ascending."""
-    digest, parts, words = xxhash.xxh64_digest, [], []
-    for block in _blocks(text):
-        words = words + block.lower().split()  # on bytes: A-Z and ASCII white space only
-        if len(words) >= width:
-            joined = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
-            parts.append(b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]))
-            words = words[len(words) - width + 1 :]
-    if not parts and words:
-        parts.append(digest(b" ".join(words), SEED))
-    return np.unique(np.frombuffer(b"".join(parts), ">i8").astype(np.int64))
+    return distinct(shingle_digests(text, width))
 
 
 def _texts(batch: pa.RecordBatch):
@@ -82,7 +89,8 @@ def common_shingles(spark: SparkSession, keyed: DataFrame, width: int) -> tuple[
 
 
 def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
-    """row_id, doc_id, digest of the shingle set, its size, and its first shingles."""
+    """row_id, doc_id, digest of the shingle set, its size, its two fingerprints (the
+    first also counts repeats), and its first shingles."""
     keys, counts = common_shingles(spark, keyed, width)
 
     def first(s: np.ndarray) -> np.ndarray:
@@ -98,17 +106,22 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                sets = [shingles(t, width) for t in _texts(part)]
+                part, sets, one, two = batch.slice(at, 500), [], [], []
+                for t in _texts(part):
+                    digests = list(shingle_digests(t, width))
+                    sets.append(distinct(digests))
+                    one.append(common_bits(digests))
+                    two.append(common_bits([mix64(sets[-1].view(np.uint64)).tobytes()]) if len(sets[-1]) else 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row_id"), part.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int64()), _lists([first(s) for s in sets]),
+                        pa.array([len(s) for s in sets], pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)],
+                        _lists([first(s) for s in sets]),
                     ],
-                    names=["row_id", "doc_id", "digest", "size", "prefix"],
+                    names=["row_id", "doc_id", "digest", "size", "fp", "fq", "prefix"],
                 )
 
-    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, prefix array<bigint>")
+    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, prefix array<bigint>")
 
 
 def alike(common: Column, a: Column, b: Column) -> Column:
@@ -116,12 +129,8 @@ def alike(common: Column, a: Column, b: Column) -> Column:
     return common * 9 >= (a + b) * 4
 
 
-def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough, of texts (v, text). Only
-    sets that the pairs name are made; pairs must be materialised."""
-    ids = materialise(spark, pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct(), "near-named")
-    named = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    sets = materialise(spark, shingle_sets(spark, texts.join(named, "v", "left_semi"), width), "near-shingles")
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
     side = lambda c: sets.select(F.col("v").alias(c), F.col("shingles").alias(f"s{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.filter(alike(F.size(F.array_intersect("sa", "sb")), F.size("sa"), F.size("sb"))).select("a", "b")
@@ -129,68 +138,98 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: int
 
 def _possible(x: str, y: str) -> Column:
     """Whether sets may be similar that meet first at these positions."""
-    rest = F.least(F.col(f"{x}.size") - F.col(f"{x}.at"), F.col(f"{y}.size") - F.col(f"{y}.at"))
-    return alike(rest, F.col(f"{x}.size"), F.col(f"{y}.size"))
-
-
-def _relabel(spark: SparkSession, named: DataFrame, found: DataFrame) -> DataFrame:
-    """named (v, label) after the links found (a, b)."""
-    name_of = lambda c: named.select(F.col("v").alias(c), F.col("label").alias(f"l{c}"))
-    edges = found.join(name_of("a"), "a").join(name_of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b").distinct()
-    joined = components(spark, edges).select(F.col("v").alias("label"), F.col("label").alias("final"))
-    return materialise(spark, named.join(joined, "label", "left").select("v", F.coalesce("final", "label").alias("label")), "near-labels")
-
-
-def clusters(spark: SparkSession, rows: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(v, label) of rows (v, size, at, key), one for each prefix shingle that several share."""
-    named = materialise(spark, rows.select("v", F.col("v").alias("label")).distinct(), "near-labels")
-    for seed in range(ROUNDS):
-        open_rows = apart(spark, rows, named)
-        order = F.xxhash64("v", "key", F.lit(seed))  # another hub for each key, so that hubs unlike most of a crowd do not matter
-        hubs = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("h"), "v", "size", "at", "label")).alias("hub"), F.count(F.lit(1)).alias("n"))
-        # pairs need no hubs: the last step takes them
-        met = open_rows.select("key", F.struct("v", "size", "at", "label").alias("x")).join(hubs.filter("n > 8"), "key")
-        met = met.filter((F.col("x.label") != F.col("hub.label")) & _possible("x", "hub")).select(F.col("x.v").alias("a"), F.col("hub.h").alias("h"), F.col("hub.v").alias("b")).distinct()
-        few = met.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "b"))), 1, HUBS).alias("hubs"))
-        pairs = materialise(spark, few.select("a", F.explode("hubs.b").alias("b")), "near-hub-pairs")
-        found = materialise(spark, verified(spark, pairs, texts, width), "near-hub-links")
-        if found.isEmpty():
-            break
-        named = _relabel(spark, named, found)
-    open_rows = apart(spark, rows, named)
-    side = lambda c: open_rows.select("key", F.struct("v", "size", "at", "label").alias(c))
-    differ = (F.col("x.v") < F.col("y.v")) & (F.col("x.label") != F.col("y.label")) & _possible("x", "y")
-    pairs = side("x").join(side("y").hint("merge"), "key").filter(differ).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
-    pairs = materialise(spark, pairs, "near-pairs")
-    return _relabel(spark, named, materialise(spark, verified(spark, pairs, texts, width), "near-links"))
-
-
-def apart(spark: SparkSession, rows: DataFrame, named: DataFrame) -> DataFrame:
-    """rows with their labels, of shingles that different labels share."""
-    labelled = rows.join(named, "v")
+    of = lambda c: (F.col(f"{x}.{c}"), F.col(f"{y}.{c}"))
+    (m, n), (i, j) = of("size"), of("at")
+    apart = sum(F.bit_count(one.bitwiseXOR(two)) for one, two in (of("fp"), of("fq")))
+    return alike(F.least(m - i, n - j), m, n) & ((F.least(m, n) < SMALL) | (apart <= FAR))
+
+
+def fingerprint_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): documents of prints (v, fp) with equal fingerprints, and with those of the
+    hubs that a fingerprint's look-ups by segment meet within max_bits; a few each."""
+    owners = prints.groupBy("fp").agg(F.min("v").alias("v"))
+    same = prints.select("fp", F.col("v").alias("a")).join(owners.withColumnRenamed("v", "b"), "fp").filter("a <> b").select("a", "b")
+    owner = lambda c: owners.select(F.col("fp").alias(c), F.col("v").alias(f"v{c}"))
+    near = hub_links(owners, max_bits).join(owner("a"), "a").join(owner("b"), "b").select(F.col("va").alias("a"), F.col("vb").alias("b"))
+    return same.union(near)
+
+
+def hub_pairs(crowds: DataFrame) -> DataFrame:
+    """(a, b): members of crowds (key, x) with at most HUBS of the hubs of their keys. All
+    keys take their hubs by the same orders, so that the members of a crowd meet the same."""
+    rank = F.struct(F.xxhash64("x.v").alias("h"), "x.*")
+    hubs = crowds.groupBy("key").agg(F.min(rank).alias("hub"))
+    met = crowds.join(hubs, "key").filter((F.col("x.v") != F.col("hub.v")) & _possible("x", "hub")).select(F.col("x.v").alias("a"), F.struct("hub.h", "hub.v").alias("hub"))
+    few = met.groupBy("a").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, HUBS).alias("hubs"))
+    return few.select("a", F.explode("hubs.v").alias("b"))
+
+
+def small_pairs(groups: DataFrame) -> DataFrame:
+    """(a, b): all possible pairs of groups (key, x) of at most CROWD members."""
+    members = groups.groupBy("key").agg(F.collect_list("x").alias("m"))
+    both = members.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y"))
+    return both.filter((F.col("x.v") < F.col("y.v")) & _possible("x", "y")).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
+
+
+def open_pairs(crowds: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): possible pairs of members of crowds that are in different groups so far."""
+    labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    return materialise(spark, labelled.join(several, "key"), "near-apart")
-
-
-def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5) -> DataFrame:
+    apart = labelled.join(several, "key")
+    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"))
+    met = apart.join(others.hint("merge"), "key").filter((F.col("x.v") < F.col("y.v")) & (F.col("label") != F.col("other")) & _possible("x", "y"))
+    return met.select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
+
+
+def links(spark: SparkSession, groups: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
+    """(v, label) of the components of all links among texts (v, text).
+
+    groups (key, n, x): for each prefix shingle that several share, how many, and the
+    documents x (v, size, at, fp, fq)."""
+    crowds = groups.filter(F.col("n") > CROWD)
+    prints = groups.select("x.v", "x.fp").distinct()
+    pairs = fingerprint_pairs(prints, max_bits).union(hub_pairs(crowds)).union(small_pairs(groups.filter(F.col("n") <= CROWD)))
+    pairs = materialise(spark, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    sets = named_sets(spark, pairs, texts, width)
+    found = materialise(spark, verified(pairs, sets), "near-links")
+    labels = components(spark, found)
+    rest = materialise(spark, open_pairs(crowds, labels).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    if rest.isEmpty():
+        return labels
+    new = named_sets(spark, rest, texts, width, sets)
+    return components(spark, found.union(materialise(spark, verified(rest, sets.union(new)), "near-links")))
+
+
+def named_sets(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: int, have: DataFrame | None = None) -> DataFrame:
+    """The shingle sets of the documents that pairs name, but for those that are there."""
+    ids = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+    ids = materialise(spark, ids if have is None else ids.join(have.select("v"), "v", "left_anti"), "near-named")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return materialise(spark, shingle_sets(spark, texts.join(ids, "v", "left_semi"), width), "near-shingles")
+
+
+def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5, max_bits: int = 5) -> DataFrame:
     """The row_id of every row of keyed (row_id, doc_id, text) that goes: all but that
     with the smallest id of each group."""
     found = materialise(spark, prefixes(spark, keyed, width), "near-prefixes")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
-    distinct = found.groupBy("digest").agg(best.alias("best"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("n"))
-    distinct = materialise(spark, distinct.withColumn("v", F.col("best.row_id")), "near-sets")
-    rows = distinct.select("v", "size", F.posexplode("prefix").alias("at", "key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    rows = materialise(spark, rows.join(shared, "key"), "near-shared")
-    labels = clusters(spark, rows, keyed.select(F.col("row_id").alias("v"), "text"), width)
-    least = labels.join(distinct.select("v", "best"), "v").groupBy("label").agg(F.min("best").alias("top"))
-    gone = labels.join(least, "label").filter(F.col("v") != F.col("top.row_id")).select(F.col("v").alias("row_id"))
-    equal = found.join(distinct.filter("n > 1").select("digest", "v"), "digest").filter(F.col("row_id") != F.col("v")).select("row_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
+    groups = found.groupBy("digest").agg(F.min(rank)["row_id"].alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    equal = materialise(spark, found.select("row_id", "digest").join(groups, "digest").filter("row_id <> top").select("row_id"), "near-equal")
+    different = found.join(equal, "row_id", "left_anti")
+    rows = different.select(F.col("row_id").alias("v"), F.posexplode("prefix").alias("at", "key"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    facts = different.select(F.col("row_id").alias("v"), "size", "fp", "fq")
+    groups = rows.join(shared, "key").join(facts, "v").select("key", "n", F.struct("v", "size", "at", "fp", "fq").alias("x"))
+    groups = materialise(spark, groups, "near-groups")
+    labels = links(spark, groups, keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
+    ranked = labels.join(found.select(F.col("row_id").alias("v"), rank.alias("rank")), "v")
+    least = ranked.groupBy("label").agg(F.min("rank").alias("top"))
+    gone = ranked.join(least, "label").filter(F.col("rank") != F.col("top")).select(F.col("v").alias("row_id"))
     return materialise(spark, gone.union(equal), "near-gone")
 
 
-def dedup(spark: SparkSession, docs: DataFrame, width: int = 5) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, width: int = 5, max_bits: int = 5) -> DataFrame:
     """The rows of docs that stay, one of each group, all columns unchanged."""
-    held = materialise(spark, docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "near-input")
+    held = with_row_ids(spark, docs, "near-input")
     keyed = held.select("row_id", F.col("doc.doc_id").cast("bigint").alias("doc_id"), F.col("doc.text").alias("text"))
-    return held.join(near_copies(spark, keyed, width), "row_id", "left_anti").select("doc.*")
+    return held.join(near_copies(spark, keyed, width, max_bits), "row_id", "left_anti").select("doc.*")

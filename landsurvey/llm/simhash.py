@@ -28,10 +28,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_counted, map_batches, materialise, plain_columns
+from .common import join_counted, map_batches, materialise, plain_columns, with_row_ids
 
 SEED = 42
 CHUNK, BLOCK = 255 * 64, 1 << 20
@@ -50,35 +50,44 @@ def _blocks(text: bytes):
         at = end
 
 
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """Unsigned 64-bit fingerprint of one UTF-8 text."""
-    total, n, words = np.zeros(64, np.int64), 0, []
+def shingle_digests(text: bytes, width: int):
+    """The XXH64 digests of the shingles of one UTF-8 text, repeats included, in blocks."""
+    words, none = [], True
     for block in _blocks(text):
         words = words + block.lower().split()  # on bytes: A-Z and ASCII white space only
         if len(words) >= width:
-            n += len(words) - width + 1
-            total += _bit_counts(words, width)
+            none = False
+            yield from _digests(words, width)
             words = words[len(words) - width + 1 :]
-    if not n and words:
-        return int.from_bytes(xxhash.xxh64_digest(b" ".join(words), SEED), "big")
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big") if n else 0
+    if none and words:
+        yield xxhash.xxh64_digest(b" ".join(words), SEED)
 
 
-def _bit_counts(words: list[bytes], width: int) -> np.ndarray:
-    """How many shingles of width words have each hash bit set, highest bit first."""
+def _digests(words: list[bytes], width: int):
     joined, digest = b" ".join(words), xxhash.xxh64_digest
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
-    ends, total = ends[width - 1 :].tolist(), np.zeros(64, np.int64)
+    starts, ends = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist(), ends[width - 1 :].tolist()
     for i in range(0, len(starts), CHUNK):
-        part = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts[i : i + CHUNK], ends[i : i + CHUNK], strict=True)])
+        yield b"".join([digest(joined[a:b], SEED) for a, b in zip(starts[i : i + CHUNK], ends[i : i + CHUNK], strict=True)])
+
+
+def common_bits(digests) -> int:
+    """The fingerprint of blocks of digests: a bit for each that is set in over half of them."""
+    total, n = np.zeros(64, np.int64), 0
+    for part in digests:
+        n += len(part) // 8
         bits = np.unpackbits(np.frombuffer(part, np.uint8)).reshape(-1, 64)
         if pad := -len(bits) % 255:
             bits = np.concatenate([bits, np.zeros((pad, 64), np.uint8)])
         # 255 rows at a time fit eight one-byte counters in each 64-bit word
         sums = np.add.reduce(bits.view(np.uint64).reshape(-1, 255, 8), axis=1)
         total += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return total
+    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big") if n else 0
+
+
+def fingerprint(text: bytes, width: int = 3) -> int:
+    """Unsigned 64-bit fingerprint of one UTF-8 text."""
+    return common_bits(shingle_digests(text, width))
 
 
 def fingerprints(spark: SparkSession, docs: DataFrame, width: int = 3) -> DataFrame:
@@ -174,16 +183,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         stepped = labels.join(around, "v").select("v", F.col("label").alias("old"), F.least("label", "met").alias("label"))
         jump = labels.select(F.col("v").alias("label"), F.col("label").alias("further"))
         moved = stepped.join(jump, "label").select("v", "old", F.least("label", "further").alias("label"))
-        done = materialise(spark, moved, "labels")
-        if done.filter("label <> old").isEmpty():
-            return done.select("v", "label")
+        seen = Observation()
+        done = materialise(spark, moved.observe(seen, F.count_if(F.col("label") != F.col("old")).alias("moved")), "labels")
         labels = done.select("v", "label")
+        if not seen.get.get("moved"):
+            return labels
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """Per row of docs: row_id, doc_id, fp, component_id (smallest doc_id of its
-    component), component_row (smallest row_id of that doc_id)."""
-    row_id = F.col("row_id") if "row_id" in docs.columns else F.monotonically_increasing_id()
+def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, max_bits: int = 3, row_id: Column | None = None) -> DataFrame:
+    """Per row of docs: row_id (the given one, or its own), doc_id, fp, component_id
+    (smallest doc_id of its component), component_row (smallest row_id of that doc_id)."""
+    row_id = F.monotonically_increasing_id() if row_id is None else row_id
     keyed = plain_columns(docs, row_id=row_id, doc_id=F.col("doc_id").cast("bigint"), text=F.col("text"))
     prints = materialise(spark, fingerprints(spark, keyed, width), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
@@ -211,7 +221,7 @@ def report(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of docs that stay, one of each component, all columns unchanged."""
-    held = materialise(spark, docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "near-input")
+    held = with_row_ids(spark, docs, "near-input")
     keyed = held.select("row_id", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"))
-    kept = near_duplicates(spark, keyed, width, max_bits).filter(F.col("row_id") == F.col("component_row")).select("row_id")
-    return held.join(kept, "row_id", "left_semi").select("doc.*")
+    found = near_duplicates(spark, keyed, width, max_bits, F.col("row_id"))
+    return held.join(found.filter(F.col("row_id") == F.col("component_row")).select("row_id"), "row_id", "left_semi").select("doc.*")
