@@ -43,6 +43,7 @@ class Build:
     def __init__(self, spark: SparkSession, site: Site, tuning: Tuning, inputs: Inputs):
         self.spark, self.site, self.tuning, self.inputs = spark, site, tuning, inputs
         self.grid = (site.origin, site.tile, site.nx, site.ny)
+        self.held: list[DataFrame] = []  # persisted until ``release``
         self.side = round(site.tile / inputs.px)
         e0, n0 = site.origin
         up = F.round((F.col("n") - n0) / inputs.px).cast("int")
@@ -100,7 +101,8 @@ class Build:
         top = self.numbered(self.inputs.dsm).select("cx", "cy", F.col("z").cast("double").alias("dsm"))
         pixels = cells.join(ground, ["cx", "cy"]).join(top, ["cx", "cy"], "left").select("idx", (F.col("dsm") - F.col("dtm")).alias("ndsm"), "dtm")
         # one row a footprint, read by the fit, its second pass and the ladder
-        rows = massing.evidence(feet, massing.zonal(pixels).persist())
+        self.held.append(massing.zonal(pixels).persist())
+        rows = massing.evidence(feet, self.held[-1])
         line = massing.calibrate(rows, self.tuning, self.site.calibration)
         marks = self.site.landmark_rows(self.spark)
         return massing.ladder(rows, line, self.tuning.prior_rows(self.spark), marks, self.tuning, self.site.calibration.dispute)
@@ -174,10 +176,16 @@ class Build:
             back.agg(records.manifest(**facts)).coalesce(1).write.mode("overwrite").text(f"{path}/{name}_manifest")
             said = getattr(self, f"_finish_{name}")(path, back)
             files.put(self.spark, f"{path}/{MANIFESTS[name]}", manifests.written(said))
+            self.release()
             log[name] = {"seconds": round(time.perf_counter() - began, 2), "warnings": manifests.warnings(name, said, len(self.site.landmarks))}
         files.put(self.spark, f"{path}/run_log.json", manifests.written(log))
         return log
 
+    def release(self) -> None:
+        """Let go what products keep for their several readings."""
+        while self.held:
+            self.held.pop().unpersist()
+
     def _finish_terrain(self, path: str, back: DataFrame) -> dict:
         cells = raster.fill_tiles(self.spark, self.cells.filter(self.inside))
         e0, n0 = self.site.origin
