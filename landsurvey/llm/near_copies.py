@@ -36,8 +36,8 @@ from .simhash import common_bits, components, hub_links, shingle_digests
 
 #: The sample that orders shingles, and how many it names; they change the cost, not the result.
 SAMPLE_TEXTS, MOST_COMMON = 20_000, 500_000
-#: Hubs that a document is compared with.
-HUBS = 3
+#: Hubs of each crowd, by as many orders, and hubs that a document is compared with.
+ORDERS, HUBS = 4, 8
 #: A shingle that at most so many share pairs them all; more are a crowd.
 CROWD = 8
 #: Bits of 128 beyond which two sets are not compared, and sizes that this is not asked of.
@@ -157,8 +157,8 @@ def fingerprint_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
 def hub_pairs(crowds: DataFrame) -> DataFrame:
     """(a, b): members of crowds (key, x) with at most HUBS of the hubs of their keys. All
     keys take their hubs by the same orders, so that the members of a crowd meet the same."""
-    rank = F.struct(F.xxhash64("x.v").alias("h"), "x.*")
-    hubs = crowds.groupBy("key").agg(F.min(rank).alias("hub"))
+    least = [F.min(F.struct(F.xxhash64("x.v", F.lit(k)).alias("h"), "x.*")) for k in range(ORDERS)]
+    hubs = crowds.groupBy("key").agg(F.array_distinct(F.array(*least)).alias("hubs")).select("key", F.explode("hubs").alias("hub"))
     met = crowds.join(hubs, "key").filter((F.col("x.v") != F.col("hub.v")) & _possible("x", "hub")).select(F.col("x.v").alias("a"), F.struct("hub.h", "hub.v").alias("hub"))
     few = met.groupBy("a").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, HUBS).alias("hubs"))
     return few.select("a", F.explode("hubs.v").alias("b"))
@@ -171,21 +171,30 @@ def small_pairs(groups: DataFrame) -> DataFrame:
     return both.filter((F.col("x.v") < F.col("y.v")) & _possible("x", "y")).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
 
 
-def open_pairs(crowds: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): possible pairs of members of crowds that are in different groups so far."""
+def open_pairs(crowds: DataFrame, labels: DataFrame, prefix_of: DataFrame) -> DataFrame:
+    """(a, b): possible pairs of members of crowds that are in different groups so far,
+    each once, at the first shingle of the order that both prefixes (v, prefix) have.
+
+    Of two prefixes the one that ends first in the order holds all common members up to
+    there, so what both sets share is at most what the prefixes share and the rest of
+    the larger remainder. As rare shingles come first, this leaves out most pairs that
+    are not similar."""
     labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    apart = labelled.join(several, "key")
-    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"))
-    met = apart.join(others.hint("merge"), "key").filter((F.col("x.v") < F.col("y.v")) & (F.col("label") != F.col("other")) & _possible("x", "y"))
-    return met.select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
+    apart = labelled.join(several, "key").join(prefix_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", "prefix")
+    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("prefix").alias("own"))
+    common = F.array_intersect("prefix", "own")
+    rest = F.greatest(F.col("x.size") - F.size("prefix"), F.col("y.size") - F.size("own"))
+    differ = (F.col("x.v") < F.col("y.v")) & (F.col("label") != F.col("other")) & _possible("x", "y")
+    same = (F.get(common, F.lit(0)) == F.col("key")) & alike(F.size(common) + rest, F.col("x.size"), F.col("y.size"))
+    return apart.join(others.hint("merge"), "key").filter(differ & same).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
 
 
-def links(spark: SparkSession, groups: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
+def links(spark: SparkSession, groups: DataFrame, prefix_of: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
     """(v, label) of the components of all links among texts (v, text).
 
     groups (key, n, x): for each prefix shingle that several share, how many, and the
-    documents x (v, size, at, fp, fq)."""
+    documents x (v, size, at, fp, fq); prefix_of: v, prefix."""
     crowds = groups.filter(F.col("n") > CROWD)
     prints = groups.select("x.v", "x.fp").distinct()
     pairs = fingerprint_pairs(prints, max_bits).union(hub_pairs(crowds)).union(small_pairs(groups.filter(F.col("n") <= CROWD)))
@@ -193,7 +202,7 @@ def links(spark: SparkSession, groups: DataFrame, texts: DataFrame, width: int,
     sets = named_sets(spark, pairs, texts, width)
     found = materialise(spark, verified(pairs, sets), "near-links")
     labels = components(spark, found)
-    rest = materialise(spark, open_pairs(crowds, labels).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    rest = materialise(spark, open_pairs(crowds, labels, prefix_of).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if rest.isEmpty():
         return labels
     new = named_sets(spark, rest, texts, width, sets)
@@ -221,7 +230,7 @@ def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5, max_bits:
     facts = different.select(F.col("row_id").alias("v"), "size", "fp", "fq")
     groups = rows.join(shared, "key").join(facts, "v").select("key", "n", F.struct("v", "size", "at", "fp", "fq").alias("x"))
     groups = materialise(spark, groups, "near-groups")
-    labels = links(spark, groups, keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
+    labels = links(spark, groups, found.select(F.col("row_id").alias("v"), "prefix"), keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
     ranked = labels.join(found.select(F.col("row_id").alias("v"), rank.alias("rank")), "v")
     least = ranked.groupBy("label").agg(F.min("rank").alias("top"))
     gone = ranked.join(least, "label").filter(F.col("rank") != F.col("top")).select(F.col("v").alias("row_id"))
