@@ -89,8 +89,8 @@ def common_shingles(spark: SparkSession, keyed: DataFrame, width: int) -> tuple[
 
 
 def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
-    """row_id, doc_id, digest of the shingle set, its size, its two fingerprints (the
-    first also counts repeats), and its first shingles."""
+    """row_id, doc_id, digest of the shingle set, its size, its two fingerprints (each
+    shingle counting once, as in the similarity), and its first shingles."""
     keys, counts = common_shingles(spark, keyed, width)
 
     def first(s: np.ndarray) -> np.ndarray:
@@ -106,12 +106,9 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 500):
-                part, sets, one, two = batch.slice(at, 500), [], [], []
-                for t in _texts(part):
-                    digests = list(shingle_digests(t, width))
-                    sets.append(distinct(digests))
-                    one.append(common_bits(digests))
-                    two.append(common_bits([mix64(sets[-1].view(np.uint64)).tobytes()]) if len(sets[-1]) else 0)
+                part = batch.slice(at, 500)
+                sets = [shingles(t, width) for t in _texts(part)]
+                one, two = ([common_bits([f(s.view(np.uint64)).tobytes()]) for s in sets] for f in (np.asarray, mix64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row_id"), part.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),

@@ -56,3 +56,18 @@ def test_crowds_and_chains(spark, monkeypatch):
     for sample in (20_000, 50):
         monkeypatch.setattr(near_copies, "SAMPLE_TEXTS", sample)
         assert stage_ids(spark, docs) == want
+
+
+def test_repeats_count_once(spark):
+    """A line that one copy repeats often changes its text and not its set."""
+    rng = random.Random(9)
+    docs = []
+    for k in range(12):
+        base = [f"w{rng.randrange(9000)}" for _ in range(150)]
+        line = " ".join(f"l{rng.randrange(9000)}" for _ in range(8))
+        edited = list(base)
+        edited[rng.randrange(20, 130)] = "other"
+        docs += [(10 * k, f"{' '.join(base)} {line}"), (10 * k + 1, " ".join(edited) + f" {line}" * (2 + 9 * k))]
+    want = sorted(kept(docs))
+    assert len(want) == 12
+    assert stage_ids(spark, docs) == want
