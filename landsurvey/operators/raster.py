@@ -71,6 +71,13 @@ def ground_flags(cells: DataFrame, px: tuple[float, float], level: float, tolera
     return out.withColumn("sand", (F.coalesce(F.col("z") < foreshore, F.lit(False)) | beach) & ~F.col("water"))
 
 
+def ordered_mean(z: Column | str, *order: str) -> Column:
+    """Mean of the values of a small group that are not null, added one by one in this
+    order: a sum of doubles depends on it, and so may not follow how rows are dealt."""
+    own = F.array_sort(F.collect_list(F.when(col(z).isNotNull(), F.struct(*order, col(z).alias("_z")))))
+    return F.aggregate(own, F.lit(0.0), lambda total, x: total + x["_z"]) / F.nullif(F.size(own), F.lit(0))
+
+
 def class_bands(cells: DataFrame, keys: list[str], fx: int, fy: int) -> DataFrame:
     """Block means of sand, water and rock, made into four bands of 0 to 255, cut
     towards zero (T30). r and c count inside keys."""

@@ -165,7 +165,7 @@ def area_accounting(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def block_downsample(spark: SparkSession, sf: str) -> DataFrame:
-    mean = v.cells(spark, sf).groupBy("tile_x", "tile_y", F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(F.avg("z").alias("z"))
+    mean = v.cells(spark, sf).groupBy("tile_x", "tile_y", F.floor(F.col("r") / 2).alias("br"), F.floor(F.col("c") / 2).alias("bc")).agg(raster.ordered_mean("z", "row", "col").alias("z"))
     return micros(mean, ["tile_x", "tile_y", "br", "bc"], "z")
 
 

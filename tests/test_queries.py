@@ -29,3 +29,15 @@ def test_matches_sql(spark, con, name):
     assert len(at) == len(rows.description)
     want = sorted(repr(tuple(r[i] for i in at)) for r in rows.fetchall())
     assert sorted(repr(tuple(r)) for r in df.select(*names).collect()) == want
+
+
+def test_block_means_do_not_follow_the_files(spark, con, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    orders.orderBy(orders.o_orderkey.desc()).repartition(5, "o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    other = con.cursor()
+    other.execute("SET threads = 1")
+    other.execute("CREATE TEMP VIEW orders AS SELECT * FROM '/root/testdata/sf0.01/orders.parquet'")
+    want = sorted(other.execute(f"SELECT tile_x, tile_y, br, bc, z FROM ({SQL['block_downsample']})").fetchall(), key=repr)
+    other.execute("RESET threads")
+    got = QUERIES["block_downsample"](spark, str(tmp_path)).select("tile_x", "tile_y", "br", "bc", "z").collect()
+    assert sorted(map(tuple, got), key=repr) == want
