@@ -32,7 +32,9 @@ def candidates(polygons: DataFrame, origin: tuple[float, float], px: float, reac
 def judged(polygons: DataFrame, origin: tuple[float, float], px: float, reach: float = 0.0) -> DataFrame:
     """idx, cx, cy, inside, away (least distance of the centre to an edge), touched."""
     e, n = F.col("cx") * px + origin[0], F.col("cy") * px + origin[1]
-    sides = candidates(polygons, origin, px, reach).join(edges(polygons), "idx").withColumn("e", e).withColumn("n", n)
+    # the size of exploded rings is estimated from their file, so edges may seem small
+    # enough to broadcast when they are not; a merge join takes any number
+    sides = candidates(polygons, origin, px, reach).join(edges(polygons).hint("merge"), "idx").withColumn("e", e).withColumn("n", n)
     de, dn = F.col("be") - F.col("ae"), F.col("bn") - F.col("an")
     crosses = ((F.col("an") <= F.col("n")) != (F.col("bn") <= F.col("n"))) & (F.col("e") < F.col("ae") + (F.col("n") - F.col("an")) * de / F.nullif(dn, F.lit(0.0)))
     along = F.least(F.greatest(((F.col("e") - F.col("ae")) * de + (F.col("n") - F.col("an")) * dn) / F.nullif(de * de + dn * dn, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))

@@ -132,3 +132,12 @@ def test_erosion_and_second_try(spark):
     assert set(eroded) == {(x, y) for x in range(2, 6) for y in range(2, 6)}
     both = cells(polygons.rasterise_all(shapes(spark, [[wide], [thin]]), (0.0, 0.0), 1.0, 0.5))
     assert {k for k, v in both.items() if v == 1} == {(x, y) for x in (20, 21) for y in range(0, 5)}
+
+
+def test_edges_are_not_broadcast(spark, tmp_path):
+    # their size is estimated from the file, before rings are exploded
+    ring = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0), (0.0, 0.0)]
+    rows = spark.createDataFrame([(1, [[dict(zip("en", p)) for p in ring]])], "idx int, rings array<array<struct<e: double, n: double>>>")
+    rows.write.parquet(str(tmp_path / "rings"))
+    plan = polygons.judged(spark.read.parquet(str(tmp_path / "rings")), (0.0, 0.0), 4.0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [idx" in plan and "BroadcastHashJoin" not in plan
