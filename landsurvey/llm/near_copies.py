@@ -90,7 +90,8 @@ def common_shingles(spark: SparkSession, keyed: DataFrame, width: int) -> tuple[
 
 def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
     """row_id, doc_id, digest of the shingle set, its size, its two fingerprints (each
-    shingle counting once, as in the similarity), and its first shingles."""
+    shingle counting once, as in the similarity), and its lead: the first half of its
+    shingles in the order, which begins with the prefix."""
     keys, counts = common_shingles(spark, keyed, width)
 
     def first(s: np.ndarray) -> np.ndarray:
@@ -101,7 +102,7 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
         if len(keys):
             at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
             often = np.where(keys[at] == s, counts[at], 0)
-        return s[np.lexsort((s, often))[: n + 1 - (4 * n + 4) // 5]]
+        return s[np.lexsort((s, often))[: max(n + 1 - (4 * n + 4) // 5, -(-n // 2))]]
 
     def run(batches):
         for batch in batches:
@@ -115,10 +116,10 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)],
                         _lists([first(s) for s in sets]),
                     ],
-                    names=["row_id", "doc_id", "digest", "size", "fp", "fq", "prefix"],
+                    names=["row_id", "doc_id", "digest", "size", "fp", "fq", "lead"],
                 )
 
-    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, prefix array<bigint>")
+    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, lead array<bigint>")
 
 
 def alike(common: Column, a: Column, b: Column) -> Column:
@@ -168,30 +169,31 @@ def small_pairs(groups: DataFrame) -> DataFrame:
     return both.filter((F.col("x.v") < F.col("y.v")) & _possible("x", "y")).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
 
 
-def open_pairs(crowds: DataFrame, labels: DataFrame, prefix_of: DataFrame) -> DataFrame:
+def open_pairs(crowds: DataFrame, labels: DataFrame, lead_of: DataFrame) -> DataFrame:
     """(a, b): possible pairs of members of crowds that are in different groups so far,
-    each once, at the first shingle of the order that both prefixes (v, prefix) have.
+    each once, at the first shingle of the order that both leads (v, lead) have.
 
-    Of two prefixes the one that ends first in the order holds all common members up to
-    there, so what both sets share is at most what the prefixes share and the rest of
+    Of two leads the one that ends first in the order holds all common members up to
+    there, so what both sets share is at most what the leads share and the rest of
     the larger remainder. As rare shingles come first, this leaves out most pairs that
-    are not similar."""
+    are not similar: a prefix alone holds what its own text changed, the half also much of
+    what the other did."""
     labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    apart = labelled.join(several, "key").join(prefix_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", "prefix")
-    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("prefix").alias("own"))
-    common = F.array_intersect("prefix", "own")
-    rest = F.greatest(F.col("x.size") - F.size("prefix"), F.col("y.size") - F.size("own"))
+    apart = labelled.join(several, "key").join(lead_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", "lead")
+    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("lead").alias("own"))
+    common = F.array_intersect("lead", "own")
+    rest = F.greatest(F.col("x.size") - F.size("lead"), F.col("y.size") - F.size("own"))
     differ = (F.col("x.v") < F.col("y.v")) & (F.col("label") != F.col("other")) & _possible("x", "y")
     same = (F.get(common, F.lit(0)) == F.col("key")) & alike(F.size(common) + rest, F.col("x.size"), F.col("y.size"))
     return apart.join(others.hint("merge"), "key").filter(differ & same).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
 
 
-def links(spark: SparkSession, groups: DataFrame, prefix_of: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
+def links(spark: SparkSession, groups: DataFrame, lead_of: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
     """(v, label) of the components of all links among texts (v, text).
 
     groups (key, n, x): for each prefix shingle that several share, how many, and the
-    documents x (v, size, at, fp, fq); prefix_of: v, prefix."""
+    documents x (v, size, at, fp, fq); lead_of: v, lead."""
     crowds = groups.filter(F.col("n") > CROWD)
     prints = groups.select("x.v", "x.fp").distinct()
     pairs = fingerprint_pairs(prints, max_bits).union(hub_pairs(crowds)).union(small_pairs(groups.filter(F.col("n") <= CROWD)))
@@ -199,7 +201,7 @@ def links(spark: SparkSession, groups: DataFrame, prefix_of: DataFrame, texts: D
     sets = named_sets(spark, pairs, texts, width)
     found = materialise(spark, verified(pairs, sets), "near-links")
     labels = components(spark, found)
-    rest = materialise(spark, open_pairs(crowds, labels, prefix_of).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    rest = materialise(spark, open_pairs(crowds, labels, lead_of).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if rest.isEmpty():
         return labels
     new = named_sets(spark, rest, texts, width, sets)
@@ -222,12 +224,13 @@ def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5, max_bits:
     groups = found.groupBy("digest").agg(F.min(rank)["row_id"].alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     equal = materialise(spark, found.select("row_id", "digest").join(groups, "digest").filter("row_id <> top").select("row_id"), "near-equal")
     different = found.join(equal, "row_id", "left_anti")
-    rows = different.select(F.col("row_id").alias("v"), F.posexplode("prefix").alias("at", "key"))
+    prefix = F.slice("lead", F.lit(1), F.expr("cast(size + 1 - (4 * size + 4) div 5 as int)"))
+    rows = different.select(F.col("row_id").alias("v"), F.posexplode(prefix).alias("at", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     facts = different.select(F.col("row_id").alias("v"), "size", "fp", "fq")
     groups = rows.join(shared, "key").join(facts, "v").select("key", "n", F.struct("v", "size", "at", "fp", "fq").alias("x"))
     groups = materialise(spark, groups, "near-groups")
-    labels = links(spark, groups, found.select(F.col("row_id").alias("v"), "prefix"), keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
+    labels = links(spark, groups, found.select(F.col("row_id").alias("v"), "lead"), keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
     ranked = labels.join(found.select(F.col("row_id").alias("v"), rank.alias("rank")), "v")
     least = ranked.groupBy("label").agg(F.min("rank").alias("top"))
     gone = ranked.join(least, "label").filter(F.col("rank") != F.col("top")).select(F.col("v").alias("row_id"))

@@ -71,3 +71,27 @@ def test_repeats_count_once(spark):
     want = sorted(kept(docs))
     assert len(want) == 12
     assert stage_ids(spark, docs) == want
+
+
+def test_edited_copies_below_the_similarity_seldom_meet(spark, monkeypatch):
+    """Copies of one text with edits of their own, just under 0.8 from each other, are a
+    crowd; few of its pairs may be left to compare whole, and none that is similar."""
+    rng = random.Random(5)
+    base, docs = [f"w{rng.randrange(9000)}" for _ in range(400)], []
+    for i in range(80):
+        again = i % 8 == 7  # of the document before
+        text = docs[-1][1].split() if again else list(base)
+        for at in rng.sample(range(len(text)), 1 if again else 6):
+            text[at] = f"e{i}x{at}"
+        docs.append((i, " ".join(text)))
+    compared, whole = [], near_copies.verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return whole(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    want = sorted(kept(docs))
+    assert 60 < len(want) < 80
+    assert stage_ids(spark, docs) == want
+    assert sum(compared[1:]) < 80 * 79 / 2 / 5
