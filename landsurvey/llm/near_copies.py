@@ -40,6 +40,9 @@ SAMPLE_TEXTS, MOST_COMMON = 20_000, 500_000
 ORDERS, HUBS = 4, 8
 #: A shingle that at most so many share pairs them all; more are a crowd.
 CROWD = 8
+#: Members of a crowd beyond which its open pairs are judged by half of their shingles, not
+#: by the prefixes alone: that moves more bytes for each member and leaves fewer pairs.
+LARGE = 256
 #: Bits of 128 beyond which two sets are not compared, and sizes that this is not asked of.
 FAR, SMALL = 48, 32
 #: Document ids, 8 bytes each, that are broadcast at most; more are joined.
@@ -122,6 +125,11 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
     return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, lead array<bigint>")
 
 
+def prefix(size: Column) -> Column:
+    """The prefix of a set of this size, from its lead."""
+    return F.slice("lead", F.lit(1), (size + 1 - F.floor((4 * size + 4) / 5)).cast("int"))
+
+
 def alike(common: Column, a: Column, b: Column) -> Column:
     """Whether sets of sizes a and b with so many common members are 0.8 similar."""
     return common * 9 >= (a + b) * 4
@@ -176,11 +184,12 @@ def open_pairs(crowds: DataFrame, labels: DataFrame, lead_of: DataFrame) -> Data
     Of two leads the one that ends first in the order holds all common members up to
     there, so what both sets share is at most what the leads share and the rest of
     the larger remainder. As rare shingles come first, this leaves out most pairs that
-    are not similar: a prefix alone holds what its own text changed, the half also much of
-    what the other did."""
-    labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "x", F.coalesce("label", "x.v").alias("label"))
+    are not similar. In crowds of over LARGE whole leads are asked, elsewhere prefixes: a
+    prefix holds what its own text changed, the half also much of what the other did."""
+    labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "n", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    apart = labelled.join(several, "key").join(lead_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", "lead")
+    seen = F.when(F.col("n") > LARGE, F.col("lead")).otherwise(prefix(F.col("x.size")))
+    apart = labelled.join(several, "key").join(lead_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", seen.alias("lead"))
     others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("lead").alias("own"))
     common = F.array_intersect("lead", "own")
     rest = F.greatest(F.col("x.size") - F.size("lead"), F.col("y.size") - F.size("own"))
@@ -224,8 +233,7 @@ def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5, max_bits:
     groups = found.groupBy("digest").agg(F.min(rank)["row_id"].alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     equal = materialise(spark, found.select("row_id", "digest").join(groups, "digest").filter("row_id <> top").select("row_id"), "near-equal")
     different = found.join(equal, "row_id", "left_anti")
-    prefix = F.slice("lead", F.lit(1), F.expr("cast(size + 1 - (4 * size + 4) div 5 as int)"))
-    rows = different.select(F.col("row_id").alias("v"), F.posexplode(prefix).alias("at", "key"))
+    rows = different.select(F.col("row_id").alias("v"), F.posexplode(prefix(F.col("size"))).alias("at", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     facts = different.select(F.col("row_id").alias("v"), "size", "fp", "fq")
     groups = rows.join(shared, "key").join(facts, "v").select("key", "n", F.struct("v", "size", "at", "fp", "fq").alias("x"))

@@ -91,6 +91,7 @@ def test_edited_copies_below_the_similarity_seldom_meet(spark, monkeypatch):
         return whole(pairs, sets)
 
     monkeypatch.setattr(near_copies, "verified", counted)
+    monkeypatch.setattr(near_copies, "LARGE", 16, raising=False)
     want = sorted(kept(docs))
     assert 60 < len(want) < 80
     assert stage_ids(spark, docs) == want
