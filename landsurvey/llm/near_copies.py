@@ -42,7 +42,7 @@ ORDERS, HUBS = 4, 8
 CROWD = 8
 #: Members of a crowd beyond which its open pairs are judged by half of their shingles, not
 #: by the prefixes alone: that moves more bytes for each member and leaves fewer pairs.
-LARGE = 256
+LARGE = 512
 #: Bits of 128 beyond which two sets are not compared, and sizes that this is not asked of.
 FAR, SMALL = 48, 32
 #: Document ids, 8 bytes each, that are broadcast at most; more are joined.
@@ -188,6 +188,9 @@ def open_pairs(crowds: DataFrame, labels: DataFrame, lead_of: DataFrame) -> Data
     prefix holds what its own text changed, the half also much of what the other did."""
     labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "n", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+    # leads of documents in no crowd are not moved
+    ids = crowds.select(F.col("x.v").alias("v")).distinct()
+    lead_of = lead_of.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "v", "left_semi")
     seen = F.when(F.col("n") > LARGE, F.col("lead")).otherwise(prefix(F.col("x.size")))
     apart = labelled.join(several, "key").join(lead_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", seen.alias("lead"))
     others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("lead").alias("own"))
