@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -83,6 +84,13 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver collect its garbage. Only then does Spark delete what finished jobs
+    shuffled and broadcast, which fills the executors' disks until it does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -15,7 +15,9 @@ distance of two fingerprints rule out most that do: of 128 bits a pair of simila
 0.8 differs in 19 on average, and in over FAR with a probability under 1e-9; sets of
 under SMALL shingles, too small for that, skip this test. What is left is compared
 whole. A shingle shared by a crowd first pairs its members with hubs, a few members
-of it, and only members of different groups then meet pair by pair.
+of it, and only members of different groups then meet pair by pair, where their odd
+sketches (one parity bit for each place that hashes fall on) allow 0.8: two sketches
+differ in no more bits than their sets in members, so this loses no pair.
 
 Defined results: texts without words (null too) have the same, empty set and so
 are one group; equal sets are one vertex; of equal ids one row stays; null ids
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, mix64, with_row_ids
+from .common import map_batches, materialise, mix64, sweep, with_row_ids
 from .simhash import common_bits, components, hub_links, shingle_digests
 
 #: The sample that orders shingles, and how many it names; they change the cost, not the result.
@@ -40,9 +42,9 @@ SAMPLE_TEXTS, MOST_COMMON = 20_000, 500_000
 ORDERS, HUBS = 4, 8
 #: A shingle that at most so many share pairs them all; more are a crowd.
 CROWD = 8
-#: Members of a crowd beyond which its open pairs are judged by half of their shingles, not
-#: by the prefixes alone: that moves more bytes for each member and leaves fewer pairs.
-LARGE = 512
+#: Bits of the longest sketch, a power of two, and first crowds of a document by which open
+#: pairs are told that met before; they change the cost, not the result.
+MOST_BITS, FIRSTS = 1 << 14, 4
 #: Bits of 128 beyond which two sets are not compared, and sizes that this is not asked of.
 FAR, SMALL = 48, 32
 #: Document ids, 8 bytes each, that are broadcast at most; more are joined.
@@ -91,10 +93,17 @@ def common_shingles(spark: SparkSession, keyed: DataFrame, width: int) -> tuple[
     return found["key"].to_numpy(), found["n"].to_numpy()
 
 
+def odd_sketch(s: np.ndarray) -> np.ndarray:
+    """A parity bit for each place that the hashes of a set fall on, in words of 64. Places
+    are the least power of two that is at least twice the set, 64 to MOST_BITS."""
+    places = min(MOST_BITS, max(64, 1 << (2 * len(s) - 1).bit_length()))
+    odd = np.bincount(s & (places - 1), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
     """row_id, doc_id, digest of the shingle set, its size, its two fingerprints (each
-    shingle counting once, as in the similarity), and its lead: the first half of its
-    shingles in the order, which begins with the prefix."""
+    shingle counting once, as in the similarity), its prefix and its odd sketch."""
     keys, counts = common_shingles(spark, keyed, width)
 
     def first(s: np.ndarray) -> np.ndarray:
@@ -105,7 +114,7 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
         if len(keys):
             at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
             often = np.where(keys[at] == s, counts[at], 0)
-        return s[np.lexsort((s, often))[: max(n + 1 - (4 * n + 4) // 5, -(-n // 2))]]
+        return s[np.lexsort((s, often))[: n + 1 - (4 * n + 4) // 5]]
 
     def run(batches):
         for batch in batches:
@@ -117,17 +126,12 @@ def prefixes(spark: SparkSession, keyed: DataFrame, width: int) -> DataFrame:
                     [
                         part.column("row_id"), part.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)],
-                        _lists([first(s) for s in sets]),
+                        _lists([first(s) for s in sets]), _lists([odd_sketch(s) for s in sets]),
                     ],
-                    names=["row_id", "doc_id", "digest", "size", "fp", "fq", "lead"],
+                    names=["row_id", "doc_id", "digest", "size", "fp", "fq", "prefix", "sketch"],
                 )
 
-    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, lead array<bigint>")
-
-
-def prefix(size: Column) -> Column:
-    """The prefix of a set of this size, from its lead."""
-    return F.slice("lead", F.lit(1), (size + 1 - F.floor((4 * size + 4) / 5)).cast("int"))
+    return map_batches(spark, keyed, run, "row_id bigint, doc_id bigint, digest binary, size bigint, fp bigint, fq bigint, prefix array<bigint>, sketch array<bigint>")
 
 
 def alike(common: Column, a: Column, b: Column) -> Column:
@@ -177,43 +181,56 @@ def small_pairs(groups: DataFrame) -> DataFrame:
     return both.filter((F.col("x.v") < F.col("y.v")) & _possible("x", "y")).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
 
 
-def open_pairs(crowds: DataFrame, labels: DataFrame, lead_of: DataFrame) -> DataFrame:
-    """(a, b): possible pairs of members of crowds that are in different groups so far,
-    each once, at the first shingle of the order that both leads (v, lead) have.
+def differing(one: Column, two: Column) -> Column:
+    """The bits in which two sketches differ, the longer one folded once: no more than the
+    members of one set that the other lacks, both ways. Sets that may be 0.8 similar have
+    sketches of equal length or one twice the other."""
+    halves = lambda s, n: F.zip_with(F.slice(s, F.lit(1), n), F.slice(s, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+    folded = lambda s, t: F.when(F.size(s) > F.size(t), halves(s, F.size(t))).otherwise(s)
+    bits = F.zip_with(folded(one, two), folded(two, one), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
+
+
+def open_pairs(crowds: DataFrame, labels: DataFrame, sketch_of: DataFrame) -> DataFrame:
+    """(a, b): possible pairs of members of crowds that are in different groups so far and
+    whose sketches (v, sketch) allow 0.8, each once.
 
-    Of two leads the one that ends first in the order holds all common members up to
-    there, so what both sets share is at most what the leads share and the rest of
-    the larger remainder. As rare shingles come first, this leaves out most pairs that
-    are not similar. In crowds of over LARGE whole leads are asked, elsewhere prefixes: a
-    prefix holds what its own text changed, the half also much of what the other did."""
-    labelled = crowds.join(labels.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member"), "left").select("key", "n", "x", F.coalesce("label", "x.v").alias("label"))
+    A pair meets in every crowd that both are members of. Where the FIRSTS first crowds of
+    both have one in common, it stays in the first of those only, which is the first of all."""
+    named = labels.withColumnRenamed("v", "member")
+    labelled = crowds.join(named, F.col("x.v") == F.col("member"), "left").select("key", "x", F.coalesce("label", "x.v").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    # leads of documents in no crowd are not moved
-    ids = crowds.select(F.col("x.v").alias("v")).distinct()
-    lead_of = lead_of.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "v", "left_semi")
-    seen = F.when(F.col("n") > LARGE, F.col("lead")).otherwise(prefix(F.col("x.size")))
-    apart = labelled.join(several, "key").join(lead_of.withColumnRenamed("v", "member"), F.col("x.v") == F.col("member")).select("key", "x", "label", seen.alias("lead"))
-    others = apart.select("key", F.col("x").alias("y"), F.col("label").alias("other"), F.col("lead").alias("own"))
-    common = F.array_intersect("lead", "own")
-    rest = F.greatest(F.col("x.size") - F.size("lead"), F.col("y.size") - F.size("own"))
-    differ = (F.col("x.v") < F.col("y.v")) & (F.col("label") != F.col("other")) & _possible("x", "y")
-    same = (F.get(common, F.lit(0)) == F.col("key")) & alike(F.size(common) + rest, F.col("x.size"), F.col("y.size"))
-    return apart.join(others.hint("merge"), "key").filter(differ & same).select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
-
-
-def links(spark: SparkSession, groups: DataFrame, lead_of: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
+    # one row a document moves its sketch and its first crowds, and then goes to each of its crowds
+    own = labelled.join(several, "key").groupBy("x.v").agg(F.array_sort(F.collect_list(F.struct("x.at", "key"))).alias("met"), F.max("label").alias("label"), *[F.max(f"x.{c}").alias(c) for c in ("size", "fp", "fq")])
+    own = own.join(sketch_of, "v").withColumn("firsts", F.slice("met.key", 1, FIRSTS))
+    apart = own.select(F.explode("met").alias("m"), "v", "size", "fp", "fq", "label", "firsts", "sketch").select("m.key", F.struct("v", "size", "m.at", "fp", "fq").alias("x"), "label", "firsts", "sketch")
+    one, two = apart.alias("one"), apart.hint("merge").alias("two")
+    first = F.get(F.array_intersect("one.firsts", "two.firsts"), F.lit(0))
+    differ = (F.col("one.x.v") < F.col("two.x.v")) & (F.col("one.label") != F.col("two.label")) & _possible("one.x", "two.x")
+    once = F.coalesce(first == F.col("one.key"), F.lit(True))
+    # of m + n members as many as differ are in one set only, the others are pairs of common ones
+    sizes = F.col("one.x.size"), F.col("two.x.size")
+    allowed = alike((sizes[0] + sizes[1] - differing(F.col("one.sketch"), F.col("two.sketch"))) / 2, *sizes)
+    met = one.join(two, F.col("one.key") == F.col("two.key")).filter(differ & once & allowed)
+    return met.select(F.col("one.x.v").alias("a"), F.col("two.x.v").alias("b")).distinct()
+
+
+def links(spark: SparkSession, groups: DataFrame, sketch_of: DataFrame, texts: DataFrame, width: int, max_bits: int) -> DataFrame:
     """(v, label) of the components of all links among texts (v, text).
 
     groups (key, n, x): for each prefix shingle that several share, how many, and the
-    documents x (v, size, at, fp, fq); lead_of: v, lead."""
+    documents x (v, size, at, fp, fq); sketch_of: v, sketch."""
     crowds = groups.filter(F.col("n") > CROWD)
     prints = groups.select("x.v", "x.fp").distinct()
     pairs = fingerprint_pairs(prints, max_bits).union(hub_pairs(crowds)).union(small_pairs(groups.filter(F.col("n") <= CROWD)))
     pairs = materialise(spark, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    sweep(spark)
     sets = named_sets(spark, pairs, texts, width)
     found = materialise(spark, verified(pairs, sets), "near-links")
     labels = components(spark, found)
-    rest = materialise(spark, open_pairs(crowds, labels, lead_of).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    sweep(spark)
+    rest = materialise(spark, open_pairs(crowds, labels, sketch_of).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    sweep(spark)
     if rest.isEmpty():
         return labels
     new = named_sets(spark, rest, texts, width, sets)
@@ -232,16 +249,18 @@ def near_copies(spark: SparkSession, keyed: DataFrame, width: int = 5, max_bits:
     """The row_id of every row of keyed (row_id, doc_id, text) that goes: all but that
     with the smallest id of each group."""
     found = materialise(spark, prefixes(spark, keyed, width), "near-prefixes")
+    sweep(spark)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
     groups = found.groupBy("digest").agg(F.min(rank)["row_id"].alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     equal = materialise(spark, found.select("row_id", "digest").join(groups, "digest").filter("row_id <> top").select("row_id"), "near-equal")
     different = found.join(equal, "row_id", "left_anti")
-    rows = different.select(F.col("row_id").alias("v"), F.posexplode(prefix(F.col("size"))).alias("at", "key"))
+    rows = different.select(F.col("row_id").alias("v"), F.posexplode("prefix").alias("at", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     facts = different.select(F.col("row_id").alias("v"), "size", "fp", "fq")
     groups = rows.join(shared, "key").join(facts, "v").select("key", "n", F.struct("v", "size", "at", "fp", "fq").alias("x"))
     groups = materialise(spark, groups, "near-groups")
-    labels = links(spark, groups, found.select(F.col("row_id").alias("v"), "lead"), keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
+    sweep(spark)
+    labels = links(spark, groups, found.select(F.col("row_id").alias("v"), "sketch"), keyed.select(F.col("row_id").alias("v"), "text"), width, max_bits)
     ranked = labels.join(found.select(F.col("row_id").alias("v"), rank.alias("rank")), "v")
     least = ranked.groupBy("label").agg(F.min("rank").alias("top"))
     gone = ranked.join(least, "label").filter(F.col("rank") != F.col("top")).select(F.col("v").alias("row_id"))

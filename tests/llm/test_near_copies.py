@@ -1,8 +1,10 @@
 import random
 
 import brute
+import numpy as np
 import corpus_pipeline as pipeline
 from landsurvey.llm import near_copies
+from pyspark.sql import functions as F
 
 
 def shingles(text, width=5):
@@ -96,3 +98,39 @@ def test_edited_copies_below_the_similarity_seldom_meet(spark, monkeypatch):
     assert 60 < len(want) < 80
     assert stage_ids(spark, docs) == want
     assert sum(compared[1:]) < 80 * 79 / 2 / 5
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_members(spark):
+    """Of sets of all sizes, those of equal sketch length and those on both sides of a power of two."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for size in (1, 5, 32, 60, 64, 250, 256, 511, 512, 4000, 20_000):
+        for away in (0, 1, size // 9, size // 5, size // 4):
+            a = rng.integers(-(1 << 63), (1 << 63) - 1, size)
+            b = np.concatenate([a[away:], rng.integers(-(1 << 63), (1 << 63) - 1, max(1, away // 2))])
+            differ = len(np.setxor1d(a, b))
+            rows.append((differ, *[near_copies.odd_sketch(np.unique(s)).tolist() for s in (a, b)]))
+    df = spark.createDataFrame(rows, "differ int, a array<bigint>, b array<bigint>")
+    found = df.select("differ", near_copies.differing(F.col("a"), F.col("b")).alias("one"), near_copies.differing(F.col("b"), F.col("a")).alias("two")).collect()
+    assert all(r.one == r.two <= r.differ for r in found)
+    assert all(r.one > 0.7 * r.differ for r in found if 40 <= r.differ < 4000)  # by chance few fall on one place
+    assert {len(r[1]) == len(r[2]) for r in rows} == {True, False}
+
+
+def test_open_pairs_move_few_bytes(spark):
+    """Members of a crowd in groups of their own: what each moves is far less than its shingles."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(-(1 << 63), (1 << 63) - 1, 2000)
+    rows, sketches = [], []
+    for v in range(40):
+        s = np.unique(np.concatenate([base[: 2000 - 400], rng.integers(-(1 << 63), (1 << 63) - 1, 400)]))
+        rows += [(int(key), 40, (v, len(s), at, 0, 0)) for at, key in enumerate(sorted(base[:30]))]
+        sketches.append((v, near_copies.odd_sketch(s).tolist()))
+    crowds = spark.createDataFrame(rows, "key bigint, n bigint, x struct<v: bigint, size: bigint, at: int, fp: bigint, fq: bigint>")
+    labels = spark.createDataFrame([(0, 0)], "v bigint, label bigint")
+    found = near_copies.open_pairs(crowds, labels, spark.createDataFrame(sketches, "v bigint, sketch array<bigint>"))
+    assert found.collect() == []  # similarity 0.67
+    assert max(len(s) for _, s in sketches) * 64 <= 4 * 2000
+    near = near_copies.open_pairs(crowds, labels, spark.createDataFrame([(v, sketches[0][1]) for v in range(40)], "v bigint, sketch array<bigint>"))
+    assert sorted((r.a, r.b) for r in near.collect()) == [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    assert "ReusedExchange" in near._jdf.queryExecution().executedPlan().toString()  # moved once, for both sides
