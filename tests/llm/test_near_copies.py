@@ -134,3 +134,23 @@ def test_open_pairs_move_few_bytes(spark):
     near = near_copies.open_pairs(crowds, labels, spark.createDataFrame([(v, sketches[0][1]) for v in range(40)], "v bigint, sketch array<bigint>"))
     assert sorted((r.a, r.b) for r in near.collect()) == [(a, b) for a in range(40) for b in range(a + 1, 40)]
     assert "ReusedExchange" in near._jdf.queryExecution().executedPlan().toString()  # moved once, for both sides
+
+
+def test_open_pairs_are_few_in_crowds_of_any_size(spark, monkeypatch):
+    """Edited copies just under 0.8 from each other, as above, in a crowd of 60."""
+    rng = random.Random(11)
+    base, docs = [f"w{rng.randrange(9000)}" for _ in range(400)], []
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(len(text)), 6):
+            text[at] = f"e{i}x{at}"
+        docs.append((i, " ".join(text)))
+    compared, whole = [], near_copies.verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return whole(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    assert stage_ids(spark, docs) == sorted(kept(docs))
+    assert sum(compared[1:]) < 60 * 59 / 2 / 10
